@@ -64,9 +64,9 @@ def failed_login_count(df: DataFrame, ip: str = "source_ip") -> DataFrame:
     return rows.fillna(0, ["failed_login_count"])
 
 
-def attack_type_frequency(df: DataFrame) -> DataFrame:
-    stats = df.where("attack_type is not null").groupBy("attack_type").agg(
-        F.count(F.lit(1)).alias("attack_type_frequency"))
+def attack_type_frequency(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    known = (df if source is None else source).where("attack_type is not null")
+    stats = known.groupBy("attack_type").agg(F.count(F.lit(1)).alias("attack_type_frequency"))
     rows = attach_by_key(df, stats, ["attack_type"], ["attack_type_frequency"], "attack_type_frequency")
     return rows.fillna(0, ["attack_type_frequency"])
 
@@ -75,20 +75,24 @@ def attack_features(df: DataFrame, window_minutes: int = 5) -> DataFrame:
     """Failed logins per address, in the trailing window, and attack-type frequency."""
     rows = df
     if has(df, "status") and has(df, "source_ip"):
-        rows = failed_login_window(failed_login_count(rows), window_minutes)
-    return attack_type_frequency(rows) if has(df, "attack_type") else rows
+        rows = failed_login_window(failed_login_count(rows), window_minutes, source=df)
+    return attack_type_frequency(rows, df) if has(df, "attack_type") else rows
 
 
 def ssh_features(df: DataFrame, window_minutes: int = 5) -> DataFrame:
-    """All SSH features with one per-address aggregate instead of two."""
+    """All SSH features with one per-address aggregate instead of two.
+
+    Every statistic is computed from ``df`` itself, never from rows that already
+    went through a join, so the input is read once per statistic and once more.
+    """
     stats = df.where("source_ip is not null").groupBy("source_ip").agg(
         F.count(F.lit(1)).alias("requests_per_ip"),
         F.count_if(F.col("status") == "failed").alias("failed_login_count"))
     rows = attach_by_key(time_features(df), stats, ["source_ip"],
                          ["requests_per_ip", "failed_login_count"], "requests_per_ip")
     rows = rows.withColumn("ip_hash", V.ip_hash(F.col("source_ip"))).fillna(0, ["failed_login_count"])
-    rows = failed_login_window(rows, window_minutes)
-    return attack_type_frequency(rows) if has(df, "attack_type") else rows
+    rows = failed_login_window(rows, window_minutes, source=df)
+    return attack_type_frequency(rows, df) if has(df, "attack_type") else rows
 
 
 def request_features(df: DataFrame) -> DataFrame:
@@ -191,12 +195,15 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     return coded.select(column, (F.col("_rank") - 1).alias("code"), "n")
 
 
-def label_encode(df: DataFrame, column: str, codes: DataFrame | None = None) -> DataFrame:
-    """Add ``<column>_encoded``. Values unknown to ``codes`` get the next free code."""
+def label_encode(df: DataFrame, column: str, codes: DataFrame | None = None, known: bool = False) -> DataFrame:
+    """Add ``<column>_encoded``. Values missing from ``codes`` get the next free code.
+
+    ``known`` says that ``codes`` were fitted on these rows, so none is missing.
+    """
     filled = df.withColumn(column, F.coalesce(F.col(column), F.lit("unknown")))
     fitted = codes if codes is not None else label_codes(df, column)
     rows = attach_by_key(filled, fitted, [column], ["code"], "n")
-    if codes is not None:
+    if codes is not None and not known:
         rows = rows.withColumn("code", F.coalesce("code", scalar(fitted, F.max("code")) + 1))
     return rows.withColumnRenamed("code", f"{column}_encoded")
 
@@ -230,7 +237,12 @@ def prepare_features(df: DataFrame, codes: dict[str, DataFrame] | None = None) -
     for column in ENCODED_COLUMNS:
         if has(rows, column):
             text = rows.withColumn(column, F.col(column).cast("string"))
-            rows = label_encode(text, column, (codes or {}).get(column))
+            fitted = (codes or {}).get(column)
+            if fitted is None:
+                fitted = label_codes(df.select(F.col(column).cast("string")), column)
+                rows = label_encode(text, column, fitted, known=True)
+            else:
+                rows = label_encode(text, column, fitted)
     names = model_columns(rows)
     return rows.fillna(0, names)
 

@@ -33,10 +33,13 @@ def trailing_counts(events: DataFrame, key: str, ts: str, minutes: int) -> DataF
 
 
 def failed_login_window(df: DataFrame, window_minutes: int = 5, ip: str = "source_ip",
-                        ts: str = "timestamp") -> DataFrame:
-    """Add ``failed_login_count_window``: 0 for rows that are no failed login."""
+                        ts: str = "timestamp", source: DataFrame | None = None) -> DataFrame:
+    """Add ``failed_login_count_window``: 0 for rows that are no failed login.
+
+    ``source`` may name an earlier, cheaper form of the same rows to count from.
+    """
     failed = (F.col("status") == "failed") & F.col(ip).isNotNull() & F.col(ts).isNotNull()
-    counts = trailing_counts(df.where(failed), ip, ts, window_minutes)
+    counts = trailing_counts((df if source is None else source).where(failed), ip, ts, window_minutes)
     rows = attach_by_key(df, counts, [ip, ts], ["n_window"], "n_here", only=failed)
     return (rows.withColumn("failed_login_count_window", F.coalesce("n_window", F.lit(0).cast("bigint")))
             .drop("n_window"))

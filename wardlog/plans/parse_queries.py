@@ -91,7 +91,7 @@ def file_line_numbers(spark, sf_dir):
 
 
 @query("csv_event_scan", views=("auth_log",), ctes=PARSED, sql="""
-select "timestamp", source_ip, nullif("user", '') as "user", status, message, nullif(attack_type, '') as attack_type,
+select "timestamp", nullif(source_ip, '') as source_ip, nullif("user", '') as "user", status, message, nullif(attack_type, '') as attack_type,
   is_attack, log_type from ssh""")
 def csv_event_scan(spark, sf_dir):
     path = scratch_path(spark, "events-csv")

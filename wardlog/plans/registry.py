@@ -31,6 +31,12 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes:
         QUERIES[name] = run
         if sql is not None:
             parts = [p for p in (duckdb_views(*views), ctes.strip().rstrip(",")) if p]
-            ORACLES[name] = (("with " + ",\n".join(parts) + "\n") if parts else "") + sql.strip()
+            final = sql.strip()
+            if parts and final.startswith("with "):  # the text brings definitions of its own
+                head = ",\n".join(parts) + ",\n"
+                final = "with " + head + final.removeprefix("with ")
+            elif parts:
+                final = "with " + ",\n".join(parts) + "\n" + final
+            ORACLES[name] = final
         return run
     return register

@@ -211,7 +211,8 @@ def priority_alerts(spark, sf_dir):
     return _top3(spark, sf_dir).select("event_id", "source_ip", "attack_type", "ml_anomaly_score", "ml_label", "rule_label")
 
 
-CHECKLIST_ORDER = [-F.col("ml_anomaly_score"), F.col("timestamp"), F.col("source_ip")]
+def _checklist_order():
+    return [-F.col("ml_anomaly_score"), F.col("timestamp"), F.col("source_ip")]
 
 
 @query("defense_checklist", views=("predictions",), ctes=PRIORITY, sql="""
@@ -221,7 +222,7 @@ ranked as (select item, row_number() over (partition by lower(item) order by ml_
   ml_anomaly_score, "timestamp", source_ip, p from items)
 select row_number() over (order by ml_anomaly_score desc, "timestamp", source_ip, p) as pos, item from ranked where r = 1 qualify pos <= 5""")
 def defense_checklist(spark, sf_dir):
-    return rsp.defense_checklist(_top3(spark, sf_dir), CHECKLIST_ORDER)
+    return rsp.defense_checklist(_top3(spark, sf_dir), _checklist_order())
 
 
 @query("alert_feed", views=("predictions",), ctes=RECOMMENDED, sql="""
@@ -253,13 +254,13 @@ def incident_summary(spark, sf_dir):
 
 
 @query("incident_report", views=("predictions",), ctes=PRIORITY, sql="""
-select 'high' as severity, 'ATTACK DETECTED (ML confirmed)' as decision, (select count(*) from predictions) as records,
+select (select case when count(*) filter (where ml_anomaly) >= greatest(3, count(*) // 5) then 'high' else 'medium' end from predictions) as severity, 'ATTACK DETECTED (ML confirmed)' as decision, (select count(*) from predictions) as records,
   (select string_agg(source_ip || '=' || printf('%.4f', ml_anomaly_score), ',' order by ml_anomaly_score desc) from top3) as top_alerts,
   (select count(distinct lower(x)) from (select unnest(string_split(defense_recommendations, ' | ')) as x from top3) q) as actions, 3 as next_actions""")
 def incident_report(spark, sf_dir):
     rows = rsp.attach_recommendations(_preds(spark, sf_dir))
     top = rsp.priority_alerts(rows)
-    checklist = rsp.defense_checklist(top, CHECKLIST_ORDER, k=100)
+    checklist = rsp.defense_checklist(top, _checklist_order(), k=100)
     report = rsp.incident_report(rows, checklist, top, "alerts", "unified", "ml-alerts-x", F.current_timestamp())
     shown = F.transform("top_alerts", lambda a: F.concat(
         a["source_ip"], F.lit("="), F.format_string("%.4f", a["ml_anomaly_score"])))
@@ -319,6 +320,14 @@ def _sources(spark, sf_dir):
     return {name: events.where(F.col("event_id") % 5 == i) for i, name in enumerate(names)}
 
 
+def _merged(spark, sf_dir):
+    """The same five sources as one tagged table, read once."""
+    names = F.array(*[F.lit(n) for n in ("Kaggle", "Synthetic", "Custom", "Russell Mitchell", "Other")])
+    events = ssh_events(spark, sf_dir).withColumn("is_attack", (F.col("event_id") % 5 == 4) | F.col("is_attack"))
+    tagged = events.withColumn("_source", F.get(names, (F.col("event_id") % 5).cast("int")))
+    return bal.conform_training(tagged, keep=("event_id", "_source"))
+
+
 @query("conform_training", views=("raw_docs",), sql="""
 select doc_id, "timestamp", source_ip, cast(coalesce(try_cast(country as double), 0) as double) as geoip_country, cast(0 as double) as geoip_city, coalesce(is_attack, false) as is_attack, cast(null as int) as hour
 from raw_docs""")
@@ -331,7 +340,7 @@ def conform_training(spark, sf_dir):
 @query("rebalance_sources", views=("auth_log",), ctes=SOURCES, sql="""
 select event_id, hostile as is_attack, src as _source from balanced""")
 def rebalance_sources(spark, sf_dir):
-    merged = bal.merge_sources(_sources(spark, sf_dir), keep=("event_id",))
+    merged = _merged(spark, sf_dir)
     return bal.rebalance_sources(merged, "event_id", RATIO).select("event_id", "is_attack", "_source")
 
 
@@ -347,7 +356,7 @@ select src as _source, count(*) as rows_before, count(*) filter (where hostile)
   (select count(*) from balanced b where b.src = s.src) as rows_after, (select count(*) from balanced b where b.src = s.src and hostile) as attacks_after
 from sources s group by src""")
 def merge_report(spark, sf_dir):
-    merged = bal.merge_sources(_sources(spark, sf_dir), keep=("event_id",))
+    merged = _merged(spark, sf_dir)
     return bal.merge_report(merged, bal.rebalance_sources(merged, "event_id", RATIO))
 
 
