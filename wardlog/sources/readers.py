@@ -171,6 +171,23 @@ def resolve_datasets(names: DataFrame, requested: str) -> DataFrame:
     return candidates.where(keep).select("dataset", label.alias("pattern"))
 
 
+def choose_datasets(docs: DataFrame, requested: str) -> Column:
+    """The same choice as a filter on a dated log table.
+
+    The dataset name is built from the table's partition columns only, so Spark
+    answers the filter from the partition list without opening other files.
+    """
+    wanted = [p.strip() for p in requested.split(",") if p.strip()]
+    name = F.col("dataset")
+    for i, patterns in enumerate([wanted, *[[p] for p in FALLBACK_DATASETS]]):
+        fits = matches_any(name, patterns) & ~name.startswith(".")
+        if i:
+            fits = fits & ~name.startswith(ALERT_DATASET_PREFIX)
+        if not docs.where(fits).isEmpty():
+            return fits
+    return F.lit(False)
+
+
 def source_inventory(docs: DataFrame, patterns: Iterable[str] = SOURCE_DATASETS) -> DataFrame:
     """Row count per non-empty source dataset (no alert or hidden tables)."""
     name = F.col("dataset")
