@@ -70,7 +70,7 @@ def failed_sessions(events: DataFrame, gap_minutes: int = 5, delay: str = DEFAUL
 
 def distinct_alerts(alerts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Drop alerts whose ``alert_id`` was already seen within the delay."""
-    return alerts.withWatermark("@timestamp", delay).dropDuplicatesWithinWatermark(["alert_id"])
+    return alerts.withWatermark("`@timestamp`", delay).dropDuplicatesWithinWatermark(["alert_id"])
 
 
 def score_batch(batch: DataFrame, detector: Detector, model: str, window_minutes: int = 5) -> DataFrame:
