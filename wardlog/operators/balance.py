@@ -144,10 +144,12 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed:
     targets = sizes.select(label, F.col("_f").alias("target"), upto.cast("bigint").alias("rank"))
     order = hash_order(F.col(key), seed)
     cuts = rank_cutoffs(df, [label], keyed.hash_levels(order), targets)
-    bounds = cuts.groupBy(label).agg(F.sort_array(F.collect_list("cut_1")).alias("_bounds"))
-    joined = df.join(F.broadcast(bounds), label, "left")
-    above = F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<string>")), lambda b: b < order))
-    return joined.withColumn("fold", above).drop("_bounds")
+    bounds = cuts.groupBy(label).agg(*[
+        F.max(F.when(F.col("target") == i, F.col("cut_1"))).alias(f"_b{i}") for i in range(1, k)])
+    joined = df.join(F.broadcast(bounds), label, "left").withColumn("_h", order)
+    above = sum((F.coalesce(F.col("_h") > F.col(f"_b{i}"), F.lit(False)).cast("int") for i in range(2, k)),
+                F.coalesce(F.col("_h") > F.col("_b1"), F.lit(False)).cast("int"))
+    return joined.withColumn("fold", above).select(*df.columns, "fold")
 
 
 def time_split(df: DataFrame, key: str, ratio: float = 0.7, ts: str = "timestamp", seed: int = SEED) -> DataFrame:

@@ -87,12 +87,13 @@ def rank_cutoffs(df: DataFrame, by: list[str], levels: list[Column], targets: Da
         state = state.withColumn("_all", F.lit(0))
     for i in range(n):
         fixed = [f"cut_{j}" for j in range(i)]
-        group = [*by, "target", "rank", *fixed, f"cut_{i}"]
-        counted = (keys.join(F.broadcast(state), [*by, *fixed])
-                   .groupBy(*group).agg(F.count(F.lit(1)).alias("_n")))
-        ordered = Window.partitionBy(*by, "target").orderBy(f"cut_{i}")
-        upto = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-        state = (counted.withColumn("_upto", upto)
+        place = [*by, *fixed]
+        # Only the buckets some target points into; the first level takes them all.
+        inside = keys.join(F.broadcast(state.select(*place).distinct()), place, "left_semi")
+        counted = inside.groupBy(*place, f"cut_{i}").agg(F.count(F.lit(1)).alias("_n"))
+        ordered = Window.partitionBy(*place).orderBy(f"cut_{i}").rowsBetween(Window.unboundedPreceding, 0)
+        counted = counted.withColumn("_upto", F.sum("_n").over(ordered))
+        state = (counted.join(F.broadcast(state), place)
                  .where((F.col("_upto") >= F.col("rank")) & (F.col("_upto") - F.col("_n") < F.col("rank")))
                  .select(*by, "target", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"),
                          *fixed, f"cut_{i}"))
@@ -105,8 +106,8 @@ def hash_order(key: Column, seed: int | str) -> Column:
 
 
 def hash_levels(order: Column) -> list[Column]:
-    """Levels for an md5 order: about a million even buckets, then the exact value."""
-    return [F.substring(order, 1, 5), order]
+    """Levels for an md5 order: 65,536 even buckets, then the exact value."""
+    return [F.substring(order, 1, 4), order]
 
 
 def time_levels(ts: Column, tie: Column) -> list[Column]:
