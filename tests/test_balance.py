@@ -88,3 +88,9 @@ def test_time_split(rows, n, ratio):
 def test_hot_timestamp_is_split_exactly(spark):
     df = spark.range(300).select("id", F.lit(T0).alias("timestamp"))
     assert bal.time_split(df, "id", 0.7).where("is_train").count() == 210
+
+
+def test_too_many_classes_fail(spark, monkeypatch):
+    monkeypatch.setattr(bal, "MAX_CLASSES", 5)
+    with pytest.raises(Exception, match="too many classes"):
+        bal.undersample(spark.range(10).withColumn("y", F.col("id")), "y", "id").count()

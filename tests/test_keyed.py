@@ -16,8 +16,10 @@ def skewed(spark):
     return spark.range(12000).select((k % 9000).alias("id"), key.alias("key"), (k % 7).alias("x"))
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
-def test_attach_keeps_every_row_and_value(spark, skewed, broadcast):
+def test_attach_keeps_every_row_and_value(spark, skewed, broadcast, small, monkeypatch):
+    monkeypatch.setattr(K, "SMALL_STATS", small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         stats = skewed.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("m"))
@@ -29,7 +31,8 @@ def test_attach_keeps_every_row_and_value(spark, skewed, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
-def test_hot_rows_do_not_meet_in_one_partition(spark, skewed):
+def test_hot_rows_do_not_meet_in_one_partition(spark, skewed, monkeypatch):
+    monkeypatch.setattr(K, "SMALL_STATS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -42,7 +45,9 @@ def test_hot_rows_do_not_meet_in_one_partition(spark, skewed):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
-def test_only_limits_the_lookup(skewed):
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_only_limits_the_lookup(skewed, small, monkeypatch):
+    monkeypatch.setattr(K, "SMALL_STATS", small)
     stats = skewed.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     got = K.attach_by_key(skewed, stats, ["key"], ["n"], "n", only=F.col("x") == 3)
     assert got.where("n is not null and x <> 3").isEmpty()

@@ -90,6 +90,11 @@ def ssh_attack_type(status: Column) -> Column:
     return F.when(ssh_is_attack(status), "brute_force").otherwise("")
 
 
+def is_failed(status: Column) -> Column:
+    """A failed login in any letter case, as structured sources write ``Failed``."""
+    return F.lower(status) == "failed"
+
+
 def syslog_timestamp(line: Column, base_year: int) -> Column:
     """Timestamp of a line that carries no year; null when there is none."""
     stamp = F.regexp_replace(F.regexp_extract(line, SYSLOG_TIME, 1), r"\s+", " ")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlog.operators import keyed
-from wardlog.operators.keyed import hash_order, lowest_by_hash, rank_cutoffs, scalar
+from wardlog.operators.keyed import MAX_CLASSES, hash_order, lowest_by_hash, rank_cutoffs, scalar
 from wardlog.schema import TRAINING, conform
 
 # Sources whose attack rows are dropped first, in this order.
@@ -98,11 +98,17 @@ def merge_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def class_quota(df: DataFrame, label: str, size: Column) -> DataFrame:
-    """Per class a row quota computed from ``n`` and the extreme class sizes."""
+    """Per class a row quota computed from ``n`` and the extreme class sizes.
+
+    Quotas and cutoffs are broadcast later, one row per class; a label with more
+    than ``MAX_CLASSES`` values fails instead.
+    """
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    low, high = scalar(counts, F.min("n")), scalar(counts, F.max("n"))
-    return counts.withColumn("n_min", low).withColumn("n_max", high).select(
-        label, size.cast("bigint").alias("rank"), "n", "n_min", "n_max")
+    bounds = scalar(counts, F.struct(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("classes")))
+    checked = F.when(bounds["classes"] > MAX_CLASSES, F.raise_error(F.lit(f"{label} has too many classes")).cast("bigint"))
+    sized = counts.withColumn("n_min", bounds["low"]).withColumn("n_max", bounds["high"])
+    return sized.select(label, checked.otherwise(size.cast("bigint")).alias("rank"), "n", "n_min", "n_max")
 
 
 def undersample(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:

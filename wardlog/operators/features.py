@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlog.functions import values as V
+from wardlog.functions.parsing import is_failed
 from wardlog.operators.keyed import attach_by_key, running_totals, scalar
 from wardlog.operators.windows import failed_login_window
 from wardlog.schema import has
@@ -58,7 +59,7 @@ def ip_features(df: DataFrame, ip: str = "source_ip") -> DataFrame:
 
 
 def failed_login_count(df: DataFrame, ip: str = "source_ip") -> DataFrame:
-    stats = df.where((F.col("status") == "failed") & F.col(ip).isNotNull()).groupBy(ip).agg(
+    stats = df.where(is_failed(F.col("status")) & F.col(ip).isNotNull()).groupBy(ip).agg(
         F.count(F.lit(1)).alias("failed_login_count"))
     rows = attach_by_key(df, stats, [ip], ["failed_login_count"], "failed_login_count")
     return rows.fillna(0, ["failed_login_count"])
@@ -87,7 +88,7 @@ def ssh_features(df: DataFrame, window_minutes: int = 5) -> DataFrame:
     """
     stats = df.where("source_ip is not null").groupBy("source_ip").agg(
         F.count(F.lit(1)).alias("requests_per_ip"),
-        F.count_if(F.col("status") == "failed").alias("failed_login_count"))
+        F.count_if(is_failed(F.col("status"))).alias("failed_login_count"))
     rows = attach_by_key(time_features(df), stats, ["source_ip"],
                          ["requests_per_ip", "failed_login_count"], "requests_per_ip")
     rows = rows.withColumn("ip_hash", V.ip_hash(F.col("source_ip"))).fillna(0, ["failed_login_count"])
@@ -230,7 +231,7 @@ def prepare_features(df: DataFrame, codes: dict[str, DataFrame] | None = None) -
             "ip_hash", V.ip_hash(F.col("source_ip"), blank_is_zero=True))
         aggs = [F.count(F.lit(1)).alias("requests_per_ip")]
         if has(rows, "status"):
-            aggs.append(F.count_if(F.col("status") == "failed").alias("failed_login_count"))
+            aggs.append(F.count_if(is_failed(F.col("status"))).alias("failed_login_count"))
         stats = rows.where("source_ip is not null").groupBy("source_ip").agg(*aggs)
         names = [c for c in stats.columns if c != "source_ip"]
         rows = attach_by_key(rows, stats, ["source_ip"], names, "requests_per_ip")

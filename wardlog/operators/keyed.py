@@ -16,9 +16,13 @@ from pyspark.sql.types import MapType
 
 from wardlog.session import materialize
 
+# Statistics of at most this many keys are broadcast whole (some tens of MB).
+SMALL_STATS = 200_000
 # A key is heavy when it owns at least this share of the rows, so there can be
 # no more than 1/HEAVY_SHARE heavy keys: the heavy table is always small.
 HEAVY_SHARE = 1.0 / 1024
+# Sampling and splitting work per class; more classes than this is a wrong column.
+MAX_CLASSES = 10_000
 
 
 def scalar(df: DataFrame, value: Column) -> Column:
@@ -30,40 +34,40 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: list[str], values: list
                   weight: str, only: Column | None = None) -> DataFrame:
     """Left-join ``stats`` (one row per key) to ``df`` without hot partitions.
 
-    ``weight`` is a column of ``stats`` holding the row count of the key. Heavy
-    keys, at most ``1 / HEAVY_SHARE`` of them, travel by broadcast. All other
-    keys go through an ordinary equi-join that Spark sizes itself; rows already
-    answered, rows with a null key, and rows outside ``only`` are spread by a
-    content hash there instead of meeting in one partition.
+    ``weight`` is a column of ``stats`` holding the row count of the key. The
+    statistics are written to the shared folder and counted. Up to
+    ``SMALL_STATS`` keys they are broadcast and ``df`` is not shuffled at all.
+    Beyond that only the heavy keys, at most ``1 / HEAVY_SHARE``, travel by
+    broadcast; the other keys go through an ordinary equi-join, in which rows
+    already answered, rows with a null key, and rows outside ``only`` are spread
+    by a content hash instead of meeting in one partition.
     """
-    total = scalar(stats, F.sum(weight))
-    is_heavy = F.col(weight) >= total * F.lit(HEAVY_SHARE)
+    stored = materialize(stats.select(*dict.fromkeys([*keys, weight, *values])), "stats")
+    wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     packed = F.struct(*values)
-    heavy = stats.where(is_heavy).select(*keys, packed.alias("_heavy"))
-    light = stats.where(~is_heavy).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.lit(0).cast("bigint").alias("_slot"), packed.alias("_light"))
-
+    if stored.count() <= SMALL_STATS:
+        small = stored.select(*keys, packed.alias("_found"))
+        rows = df.join(F.broadcast(small), keys, "left")
+        hit = F.when(wanted, F.col("_found"))
+        return rows.select(*df.columns, *[hit.getField(v).alias(v) for v in values])
+
+    is_heavy = F.col(weight) >= scalar(stored, F.sum(weight)) * F.lit(HEAVY_SHARE)
+    heavy = stored.where(is_heavy).select(*keys, packed.alias("_heavy"))
+    # Slot and key form one struct: as separate join keys the constant slot of the
+    # light side would be turned into a filter and no longer spread the rows.
+    def slotted(slot: Column) -> Column:
+        return F.struct(slot.alias("slot"), *keys)
+
+    light = stored.where(~is_heavy).select(
+        slotted(F.lit(0).cast("bigint")).alias("_key"), packed.alias("_light"))
     rows = df.join(F.broadcast(heavy), keys, "left")
-    searching = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    if only is not None:
-        searching = searching & F.coalesce(only, F.lit(False))
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    open_row = searching & F.col("_heavy").isNull()
-    rows = rows.withColumn("_slot", F.when(open_row, F.lit(0).cast("bigint")).otherwise(
-        F.xxhash64(*hashable).bitwiseOR(F.lit(1).cast("bigint"))))
-    joined = rows.alias("r").join(
-        light.alias("l"),
-        reduce(lambda a, b: a & b,
-               [F.col("r._slot") == F.col("l._slot")]
-               + [F.col(f"r.`{k}`") == F.col(f"l._k{i}") for i, k in enumerate(keys)]),
-        "left")
-    found = F.coalesce(F.col("_heavy"), F.col("_light"))
-    if only is not None:
-        found = F.when(F.coalesce(only, F.lit(False)), found)
-    return joined.select(
-        *[F.col(f"r.`{c}`") for c in df.columns],
-        *[found.getField(v).alias(v) for v in values])
+    searching = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], wanted)
+    spread = F.xxhash64(*hashable).bitwiseOR(F.lit(1).cast("bigint"))
+    slot = F.when(searching & F.col("_heavy").isNull(), F.lit(0).cast("bigint")).otherwise(spread)
+    joined = rows.withColumn("_key", slotted(slot)).join(light, "_key", "left")
+    found = F.when(wanted, F.coalesce(F.col("_heavy"), F.col("_light")))
+    return joined.select(*df.columns, *[found.getField(v).alias(v) for v in values])
 
 
 def rank_cutoffs(df: DataFrame, by: list[str], levels: list[Column], targets: DataFrame) -> DataFrame:
@@ -121,7 +125,7 @@ def lowest_by_hash(df: DataFrame, by: list[str], order: Column, quota: DataFrame
 
     ``quota`` has one row per group (``by..., rank``). The rows themselves are
     never shuffled: they are compared with one broadcast cutoff per group.
-    Row keys must be unique for the count to be exact.
+    Row keys must be unique for the count to be exact, groups few (classes).
     """
     cuts = rank_cutoffs(df, by, hash_levels(order), quota.withColumn("target", F.lit(0)))
     cuts = cuts.select(*by, F.col("cut_1").alias("_cut"))

@@ -83,12 +83,15 @@ def apply_labels(events: DataFrame, attack_lines: DataFrame, file_key: str | Non
     return marked.select(*events.columns)
 
 
-def extract_ssh_fields(lines: DataFrame) -> DataFrame:
-    """Structured fields of password lines; other lines keep nulls."""
+def extract_ssh_fields(lines: DataFrame, lower_status: bool = True) -> DataFrame:
+    """Structured fields of password lines; other lines keep nulls.
+
+    The status word is lower-cased so that counters of ``failed`` see it.
+    """
     part = lambda group: P.first_group(F.col("message"), P.SSH_PASSWORD_LINE, group)
     return lines.select(
         "*", part(1).alias("log_time"), part(2).alias("host"), part(3).cast("int").alias("pid"),
-        F.lower(part(4)).alias("status"), part(5).alias("user"), part(6).alias("source_ip"),
+        (F.lower(part(4)) if lower_status else part(4)).alias("status"), part(5).alias("user"), part(6).alias("source_ip"),
         part(7).cast("int").alias("port"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlog.functions.parsing import is_failed
 from wardlog.operators.keyed import attach_by_key
 
 # A block spans this many windows, so at most 1/12 of the keys are copied as context.
@@ -46,7 +47,7 @@ def failed_login_window(df: DataFrame, window_minutes: int = 5, ip: str = "sourc
 
     ``source`` may name an earlier, cheaper form of the same rows to count from.
     """
-    failed = (F.col("status") == "failed") & F.col(ip).isNotNull() & F.col(ts).isNotNull()
+    failed = is_failed(F.col("status")) & F.col(ip).isNotNull() & F.col(ts).isNotNull()
     counts = trailing_counts((df if source is None else source).where(failed), ip, ts, window_minutes)
     rows = attach_by_key(df, counts, [ip, ts], ["n_window"], "n_here", only=failed)
     return (rows.withColumn("failed_login_count_window", F.coalesce("n_window", F.lit(0).cast("bigint")))
@@ -57,7 +58,7 @@ def failed_by_window(df: DataFrame, minutes: int, slide: int | None = None, ip:
                      ts: str = "timestamp") -> DataFrame:
     """Failed logins per address and tumbling (or sliding) window; batch or stream."""
     bucket = F.window(ts, f"{minutes} minutes", f"{slide or minutes} minutes")
-    return (df.where("status = 'failed'").groupBy(ip, bucket).agg(F.count(F.lit(1)).alias("failed"))
+    return (df.where(is_failed(F.col("status"))).groupBy(ip, bucket).agg(F.count(F.lit(1)).alias("failed"))
             .select(ip, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "failed"))
 
 
@@ -65,7 +66,7 @@ def failed_session_stream(df: DataFrame, gap_minutes: int, ip: str = "source_ip"
                           ts: str = "timestamp") -> DataFrame:
     """Bursts of failed logins per address, split by quiet gaps; for streams."""
     burst = F.session_window(ts, f"{gap_minutes} minutes")
-    return (df.where("status = 'failed'").groupBy(ip, burst).agg(F.count(F.lit(1)).alias("failed"))
+    return (df.where(is_failed(F.col("status"))).groupBy(ip, burst).agg(F.count(F.lit(1)).alias("failed"))
             .select(ip, F.col("session_window.start").alias("session_start"),
                     F.col("session_window.end").alias("session_end"), "failed"))
 
@@ -80,7 +81,7 @@ def failed_sessions(df: DataFrame, gap_minutes: int, ip: str = "source_ip",
     """
     gap = gap_minutes * 60 * 1_000_000
     at = F.unix_micros(ts)
-    failed = df.where((F.col("status") == "failed") & F.col(ts).isNotNull() & F.col(ip).isNotNull())
+    failed = df.where(is_failed(F.col("status")) & F.col(ts).isNotNull() & F.col(ip).isNotNull())
     moments = failed.groupBy(F.col(ip).alias("ip"), at.alias("us")).agg(F.count(F.lit(1)).alias("n")).withColumn(
         "block", F.floor(F.col("us") / F.lit(gap * WINDOWS_PER_BLOCK)))
     in_block = Window.partitionBy("ip", "block").orderBy("us")

@@ -97,8 +97,8 @@ def monitor(spark: SparkSession, events: DataFrame, detector: Detector, out: str
     alerts = materialize(wr.alert_rows(predictions, model_name, dedup_order="event_id"), "alerts")
     wr.write_alerts(alerts.drop("event_id"), f"{out}/alerts", run_id)
     feed = alerts.withColumnRenamed("@timestamp", "timestamp")
-    latest = rd.latest_alerts(feed, PRIORITY_ROWS, model=model_name, tie="event_id")
-    top = rsp.priority_alerts(latest)
+    latest = materialize(rd.latest_alerts(feed, PRIORITY_ROWS, model=model_name, tie="event_id"), "latest")
+    top = materialize(rsp.priority_alerts(latest), "top-alerts")
     order = [-F.coalesce(F.col("ml_anomaly_score").try_cast("double"), F.lit(0.0)), F.col("timestamp"), F.col("source_ip")]
     report = materialize(rsp.incident_report(
         latest, rsp.defense_checklist(top, order), top, source, model_name, run_id, F.current_timestamp()), "report")

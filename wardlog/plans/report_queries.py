@@ -11,6 +11,7 @@ from wardlog.operators import respond as rsp
 from wardlog.plans.parse_queries import PARSED, ssh_events
 from wardlog.plans.registry import query
 from wardlog.plans.views import view
+from wardlog.session import materialize
 from wardlog.sources import readers as rd
 from wardlog.sources import writers as wr
 
@@ -258,8 +259,9 @@ select (select case when count(*) filter (where ml_anomaly) >= greatest(3, count
   (select string_agg(source_ip || '=' || printf('%.4f', ml_anomaly_score), ',' order by ml_anomaly_score desc) from top3) as top_alerts,
   (select count(distinct lower(x)) from (select unnest(string_split(defense_recommendations, ' | ')) as x from top3) q) as actions, 3 as next_actions""")
 def incident_report(spark, sf_dir):
-    rows = rsp.attach_recommendations(_preds(spark, sf_dir))
-    top = rsp.priority_alerts(rows)
+    rows = _preds(spark, sf_dir)
+    # Three rows, read by the checklist and by the report: found once.
+    top = materialize(rsp.attach_recommendations(rsp.priority_alerts(rows)), "top-alerts")
     checklist = rsp.defense_checklist(top, _checklist_order(), k=100)
     report = rsp.incident_report(rows, checklist, top, "alerts", "unified", "ml-alerts-x", F.current_timestamp())
     shown = F.transform("top_alerts", lambda a: F.concat(
