@@ -6,7 +6,7 @@ from wardlog.learning import forest
 from wardlog.learning.detector import Detector
 from wardlog.learning.isolation import average_path, fit_isolation_forest, grow_tree
 from wardlog.learning.oneclass import fit_one_class
-from wardlog.learning.smote import smote
+from wardlog.learning.smote import handle_imbalance, smote
 from wardlog.operators import metrics as M
 
 COLUMNS = list("abcd")
@@ -87,6 +87,18 @@ def test_smote_with_even_classes_adds_nothing(spark):
     assert smote(df, ["a"], "y", "id").count() == 20
 
 
+@pytest.mark.parametrize("method,rows_out", [("undersample", 16), ("oversample", 44), ("smote", 44), ("other", 30)])
+def test_imbalance_methods(spark, method, rows_out):
+    df = spark.range(30).select("id", (F.col("id") * 1.5).alias("a"), (F.col("id") < 8).alias("y"))
+    assert handle_imbalance(df, "y", "id", method).count() == rows_out
+    assert handle_imbalance(df, "none", "id", method).count() == 30
+
+
+def test_smote_leaves_tiny_classes(spark):
+    df = spark.range(30).select("id", (F.col("id") * 1.5).alias("a"), (F.col("id") < 5).alias("y"))
+    assert smote(df, ["a"], "y", "id").count() == 30
+
+
 def test_forest_search(planted):
     fitted, grid = forest.search(planted, COLUMNS, "y", "id", folds=2, trees=(3, 6), depths=(3,), min_split=(2,))
     report = forest.search_report(fitted, grid, planted).collect()

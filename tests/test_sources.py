@@ -108,3 +108,12 @@ def test_alert_ids_make_rewrites_idempotent(spark, rows, tmp_path):
     assert {r.alert_id for r in wr.alert_rows(df, "m", dedup_order="id").collect()} == {r.alert_id for r in got.values()}
     wr.write_alerts(alerts, str(tmp_path / "a"), "r1")
     assert (tmp_path / "a" / "alert_date=2024-01-01" / "run_id=r1").is_dir()
+
+
+def test_csv_files_are_listed_with_their_size(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.csv").write_text("x" * 1024 * 1024)
+    (tmp_path / "deep" / "b.csv").write_text("x")
+    (tmp_path / "c.txt").write_text("x")
+    out = {r.path.rsplit("/", 1)[-1]: r.size_mb for r in rd.list_csv_files(spark, str(tmp_path)).collect()}
+    assert out == {"a.csv": 1.0, "b.csv": 0.0}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlog.operators.balance import SEED, class_quota
+from wardlog.operators.balance import SEED, class_quota, oversample, undersample
+from wardlog.operators.features import numeric_columns
 from wardlog.operators.keyed import hash_order, lowest_by_hash
 from wardlog.operators.neighbors import nearest_vectors
 from wardlog.session import materialize
@@ -20,13 +21,14 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
     Returns ``features, label, synthetic``. Each minority row starts the same
     number of synthetic rows, the remainder falling to the rows first in hash
     order; neighbour and mixing weight come from a hash, so a rerun agrees.
+    A class of at most ``k`` rows has too few neighbours and stays as it is.
     """
     flag = F.col(label).cast("boolean")
     base = df.select(F.col(key).cast("string").alias("_key"), flag.alias("_y"),
                      *[F.col(c).cast("double").alias(c) for c in features])
     quota = class_quota(base, "_y", (F.col("n_max") - F.col("n")) % F.col("n"))
     marked = lowest_by_hash(base, ["_y"], hash_order(F.col("_key"), seed), quota.select("_y", "rank"))
-    each = quota.where("n < n_max").select("_y", F.floor((F.col("n_max") - F.col("n")) / F.col("n")).alias("_each"))
+    each = quota.where((F.col("n") < F.col("n_max")) & (F.col("n") > k)).select("_y", F.floor((F.col("n_max") - F.col("n")) / F.col("n")).alias("_each"))
     minority = marked.join(F.broadcast(each), "_y").withColumn("_copies", F.col("_each") + F.col("_picked").cast("int"))
     vectors = minority.groupBy(F.array(*features).alias("x")).agg(
         F.min("_key").alias("vid"), F.count(F.lit(1)).alias("mult"), F.sum("_copies").alias("copies"),
@@ -52,3 +54,21 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
                         F.col("_y").alias(label), F.lit(True).alias("synthetic"))
     given = base.select(*features, F.col("_y").alias(label), F.lit(False).alias("synthetic"))
     return given.unionByName(made)
+
+
+def handle_imbalance(df: DataFrame, label: str, key: str, method: str = "undersample",
+                     features: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """Even the classes by ``undersample``, ``oversample`` or ``smote``.
+
+    A missing label column or an unknown method leaves the input unchanged.
+    """
+    if label not in df.columns:
+        return df
+    if method == "undersample":
+        return undersample(df, label, key, seed)
+    if method == "oversample":
+        return oversample(df, label, key, seed).drop("copy")
+    if method == "smote":
+        names = features or [c for c in numeric_columns(df) if c not in (label, key)]
+        return smote(df, names, label, key, seed=seed).drop("synthetic")
+    return df

@@ -127,7 +127,8 @@ def hourly_attack_table(predictions: DataFrame, anchor: Column | None = None,
     hour = F.date_trunc("hour", "timestamp")
     attack = any_flag(F.col("is_attack"))
     kind = F.coalesce(nonblank("attack_type"), F.lit("unknown"))
-    rank = F.array_position(F.array(*[F.lit(m) for m in MODEL_PRIORITY]), F.col("ml_model"))
+    # The priority number breaks ties; a model outside the list does not compete.
+    rank = F.nullif(F.array_position(F.array(*[F.lit(m) for m in MODEL_PRIORITY]), F.col("ml_model")), F.lit(0))
     score = F.when(attack, F.col("ml_anomaly_score").try_cast("double"))
     def part(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("kind"), value.cast("string").alias("value"))
@@ -154,7 +155,7 @@ def hourly_attack_table(predictions: DataFrame, anchor: Column | None = None,
     return hour_buckets(predictions, at).join(per_hour, "hour_start", "left").select(
         "hour_start", "hour_label", F.coalesce("total_alerts", zero).alias("total_alerts"),
         F.coalesce("attacks", zero).alias("attacks"), "top_ip", "top_attack_type", "avg_score",
-        F.when(F.col("_model") != "0", F.try_element_at(names, F.col("_model").cast("int"))).alias("top_model"))
+        F.try_element_at(names, F.col("_model").cast("int")).alias("top_model"))
 
 
 def hourly_severity(table: DataFrame) -> DataFrame:

@@ -71,13 +71,19 @@ def attack_quotas(df: DataFrame, ratio: float = TARGET_ATTACK_RATIO) -> DataFram
 
 
 def rebalance_sources(df: DataFrame, key: str, ratio: float = TARGET_ATTACK_RATIO, seed: int = SEED) -> DataFrame:
-    """Keep all normal rows and thin attack rows to ``ratio`` by source priority."""
+    """Keep all normal rows and thin attack rows to ``ratio`` by source priority.
+
+    Without a ``_source`` column every row counts as one further source.
+    """
+    columns = df.columns
+    if "_source" not in columns:
+        df = df.withColumn("_source", F.lit("Unknown"))
     group = F.lit(len(DROP_PRIORITY))
     for i, name in reversed(list(enumerate(DROP_PRIORITY))):
         group = F.when(F.col("_source") == name, i).otherwise(group)
     grouped = df.withColumn("_grp", F.when(F.col("is_attack"), group))
     marked = lowest_by_hash(grouped, ["_grp"], hash_order(F.col(key), seed), attack_quotas(df, ratio))
-    return marked.where(~F.col("is_attack") | F.col("_picked")).select(*df.columns)
+    return marked.where(~F.col("is_attack") | F.col("_picked")).select(*columns)
 
 
 def unified_training(sources: dict[str, DataFrame], key: str, balance: bool = True,

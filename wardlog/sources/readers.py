@@ -50,6 +50,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
                           escape='"', multiLine=multiline, enforceSchema=False)
 
 
+def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files below a folder as ``path, size_mb``; their content is not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.csv").load(folder))
+    return files.select("path", F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Job-level guard: an empty input is an error, not an empty result."""
     if df.isEmpty():
