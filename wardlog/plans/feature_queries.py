@@ -63,12 +63,14 @@ def fill_missing(spark, sf_dir):
 
 @query("time_features", sql="""
 with t as (select event_id, case when event_id % 97 <> 0 then ts end as ts from events)
-select event_id, hour(ts) as hour, isodow(ts) - 1 as day_of_week, day(ts) as day_of_month, month(ts) as month,
-  cast(coalesce(isodow(ts) >= 6, false) as int) as is_weekend, cast(coalesce(hour(ts) between 9 and 17, false) as int) as is_business_hours from t""")
+select event_id, cast(hour(ts) as varchar) as hour, cast(isodow(ts) - 1 as varchar) as day_of_week, cast(day(ts) as varchar) as day_of_month,
+  cast(month(ts) as varchar) as month, cast(coalesce(isodow(ts) >= 6, false) as int) as is_weekend, cast(coalesce(hour(ts) between 9 and 17, false) as int) as is_business_hours from t""")
 def time_features(spark, sf_dir):
     rows = _events(spark, sf_dir).select(
         "event_id", F.when(F.col("event_id") % 97 != 0, F.col("timestamp")).alias("timestamp"))
-    return ft.time_features(rows).drop("timestamp")
+    # Nullable numbers are shown as text: clients print missing integers differently.
+    parts = ("hour", "day_of_week", "day_of_month", "month")
+    return ft.time_features(rows).drop("timestamp").withColumns({c: F.col(c).cast("string") for c in parts})
 
 
 @query("ip_hash", views=("auth_log",), ctes=PARSED, sql="""
@@ -82,10 +84,10 @@ def ip_hash(spark, sf_dir):
 
 @query("requests_per_ip", views=("auth_log",), ctes=PARSED, sql="""
 with x as (select event_id, nullif(source_ip, '') as source_ip from ssh)
-select event_id, source_ip, n as requests_per_ip from x left join (select source_ip, count(*) as n from x group by source_ip) c using (source_ip)""")
+select event_id, source_ip, cast(n as varchar) as requests_per_ip from x left join (select source_ip, count(*) as n from x group by source_ip) c using (source_ip)""")
 def requests_per_ip(spark, sf_dir):
     rows = ssh_events(spark, sf_dir).select("event_id", V.blank_to_null(F.col("source_ip")).alias("source_ip"))
-    return ft.ip_features(rows).select("event_id", "source_ip", "requests_per_ip")
+    return ft.ip_features(rows).select("event_id", "source_ip", F.col("requests_per_ip").cast("string").alias("requests_per_ip"))
 
 
 @query("failed_login_count", views=("auth_log",), ctes=PARSED, sql="""
@@ -108,7 +110,8 @@ def attack_type_frequency(spark, sf_dir):
 
 
 @query("ssh_features", views=("auth_log",), ctes=PARSED + "," + WINDOWED, sql="""
-select s.event_id, hour(s."timestamp") as hour, isodow(s."timestamp") - 1 as day_of_week, day(s."timestamp") as day_of_month, month(s."timestamp") as month,
+select s.event_id, cast(hour(s."timestamp") as int) as hour, cast(isodow(s."timestamp") - 1 as int) as day_of_week,
+  cast(day(s."timestamp") as int) as day_of_month, cast(month(s."timestamp") as int) as month,
   cast(isodow(s."timestamp") >= 6 as int) as is_weekend, cast(hour(s."timestamp") between 9 and 17 as int) as is_business_hours,
   i.n as requests_per_ip, cast('0x' || substr(md5(s.source_ip), 1, 8) as bigint) as ip_hash, i.f as failed_login_count,
   coalesce(w.in_window, 0) as failed_login_count_window, a.n as attack_type_frequency
@@ -171,7 +174,7 @@ per_ip as (select source_ip, count(*) as n, count(*) filter (where status = 'fai
 
 
 @query("feature_matrix", views=("auth_log",), ctes=PARSED + "," + FEATURES, sql="""
-select event_id, hour(s."timestamp") as hour, isodow(s."timestamp") - 1 as day_of_week, cast(isodow(s."timestamp") >= 6 as int) as is_weekend,
+select event_id, cast(hour(s."timestamp") as int) as hour, cast(isodow(s."timestamp") - 1 as int) as day_of_week, cast(isodow(s."timestamp") >= 6 as int) as is_weekend,
   n as requests_per_ip, f as failed_login_count, case when source_ip = '' then 0 else cast('0x' || substr(md5(source_ip), 1, 8) as bigint) end as ip_hash, user_encoded
 from ssh s join per_ip using (source_ip) join coded using ("user")""")
 def feature_matrix(spark, sf_dir):

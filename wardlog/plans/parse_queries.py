@@ -66,6 +66,11 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(nested, RAW_DOCUMENT)
 
 
+def _as_text(df: DataFrame, *names: str) -> DataFrame:
+    """Nullable numbers as text: clients print missing integers differently."""
+    return df.withColumns({n: F.col(n).cast("string") for n in names})
+
+
 # --- scans -------------------------------------------------------------------
 
 def _line_files(spark: SparkSession, sf_dir: str) -> str:
@@ -316,7 +321,7 @@ def web_records(spark, sf_dir):
 select doc_id, "timestamp", message, coalesce(kind, 'unknown') as log_type,
   coalesce(nullif(source_ip, ''), nullif(src_ip, ''), case when s then p_ip end, '') as source_ip, coalesce(clientip, '') as clientip,
   coalesce(nullif("user", ''), case when s then p_user end, '') as "user", coalesce(nullif(status, ''), case when s then p_status end, '') as status,
-  coalesce(request, '') as request, response, coalesce(bytes, 0) as bytes, coalesce(verb, '') as verb,
+  coalesce(request, '') as request, cast(response as varchar) as response, coalesce(bytes, 0) as bytes, coalesce(verb, '') as verb,
   coalesce(is_attack, false) or (s and p_status in ('failed', 'invalid_user')) as is_attack,
   case when s and p_status in ('failed', 'invalid_user') then 'brute_force' else coalesce(attack_type, '') end as attack_type,
   coalesce(country, '') as geoip_country, coalesce(city, '') as geoip_city,
@@ -326,7 +331,7 @@ from (select *, (coalesce(lower(kind) like '%ssh%', false) or lower(message) lik
 def raw_records(spark, sf_dir):
     rows = rec.raw_records(raw_documents(spark, sf_dir))
     pairs = F.transform(F.map_entries("extra"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return rows.withColumn("extra", F.array_join(pairs, ","))
+    return _as_text(rows.withColumn("extra", F.array_join(pairs, ",")), "response")
 
 
 @query("classify_log_type", views=("raw_docs",), ctes=TYPED, sql="""
@@ -338,10 +343,10 @@ def classify_log_type(spark, sf_dir):
 
 @query("extract_all", views=("raw_docs",), ctes=TYPED, sql="""
 select doc_id, "timestamp", source_ip, "user", status, message, attack_type, is_attack, geoip_country, geoip_city, log_type,
-  clientip, request, response, bytes, verb
+  clientip, request, cast(response as varchar) as response, cast(bytes as varchar) as bytes, verb
 from (select * from ssh_out union all by name select * from web_out) u""")
 def extract_all(spark, sf_dir):
-    return rec.extract(raw_documents(spark, sf_dir), "all")
+    return _as_text(rec.extract(raw_documents(spark, sf_dir), "all"), "response", "bytes")
 
 
 GROK = P.SSH_PASSWORD_LINE
@@ -353,11 +358,11 @@ def _sql_group(pattern: str, group: int) -> str:
 
 
 @query("ssh_grok", views=("auth_log",), sql=f"""
-select event_id, {_sql_group(GROK, 1)} as log_time, {_sql_group(GROK, 2)} as host, try_cast({_sql_group(GROK, 3)} as int) as pid,
+select event_id, {_sql_group(GROK, 1)} as log_time, {_sql_group(GROK, 2)} as host, {_sql_group(GROK, 3)} as pid,
   lower({_sql_group(GROK, 4)}) as status, {_sql_group(GROK, 5)} as "user", {_sql_group(GROK, 6)} as source_ip,
-  try_cast({_sql_group(GROK, 7)} as int) as port from auth_log""")
+  {_sql_group(GROK, 7)} as port from auth_log""")
 def ssh_grok(spark, sf_dir):
-    return rec.extract_ssh_fields(auth_lines(spark, sf_dir).select("event_id", "message")).drop("message")
+    return _as_text(rec.extract_ssh_fields(auth_lines(spark, sf_dir).select("event_id", "message")).drop("message"), "pid", "port")
 
 
 @query("access_log_parse", views=("web_log",), sql=f"""

@@ -221,7 +221,7 @@ with parts as (select ml_anomaly_score, "timestamp", source_ip, string_split(def
 items as (select ml_anomaly_score, "timestamp", source_ip, unnest(l) as item, generate_subscripts(l, 1) as p from parts),
 ranked as (select item, row_number() over (partition by lower(item) order by ml_anomaly_score desc, "timestamp", source_ip, p) as r,
   ml_anomaly_score, "timestamp", source_ip, p from items)
-select row_number() over (order by ml_anomaly_score desc, "timestamp", source_ip, p) as pos, item from ranked where r = 1 qualify pos <= 5""")
+select cast(row_number() over (order by ml_anomaly_score desc, "timestamp", source_ip, p) as int) as pos, item from ranked where r = 1 qualify pos <= 5""")
 def defense_checklist(spark, sf_dir):
     return rsp.defense_checklist(_top3(spark, sf_dir), _checklist_order())
 
@@ -229,7 +229,7 @@ def defense_checklist(spark, sf_dir):
 @query("alert_feed", views=("predictions",), ctes=RECOMMENDED, sql="""
 with latest as (select * from recommended order by "timestamp" desc, event_id limit 10),
 shown as (select *, row_number() over (order by "timestamp" desc, event_id) as pos from latest where ml_anomaly or not (select bool_or(ml_anomaly) from latest))
-select pos, strftime("timestamp", '%Y-%m-%d %H:%M:%S') || ' | ' || case when ml_anomaly then 'ML_ATTACK' else 'ML_NORMAL' end || ' | ' ||
+select cast(pos as int) as pos, strftime("timestamp", '%Y-%m-%d %H:%M:%S') || ' | ' || case when ml_anomaly then 'ML_ATTACK' else 'ML_NORMAL' end || ' | ' ||
   case when is_attack then 'RULE_ATTACK' else 'RULE_NORMAL' end || ' | ' || source_ip || ' | ' || coalesce(nullif(attack_type, ''), 'unknown')
   || ' | score=' || printf('%.4f', ml_anomaly_score) || ' | model=' || ml_model || ' | rec=' || defense_recommendations as line from shown
 where pos <= case when (select bool_or(ml_anomaly) from latest) then 10 else 5 end""")
@@ -257,7 +257,7 @@ def incident_summary(spark, sf_dir):
 @query("incident_report", views=("predictions",), ctes=PRIORITY, sql="""
 select (select case when count(*) filter (where ml_anomaly) >= greatest(3, count(*) // 5) then 'high' else 'medium' end from predictions) as severity, 'ATTACK DETECTED (ML confirmed)' as decision, (select count(*) from predictions) as records,
   (select string_agg(source_ip || '=' || printf('%.4f', ml_anomaly_score), ',' order by ml_anomaly_score desc) from top3) as top_alerts,
-  (select count(distinct lower(x)) from (select unnest(string_split(defense_recommendations, ' | ')) as x from top3) q) as actions, 3 as next_actions""")
+  (select cast(count(distinct lower(x)) as int) from (select unnest(string_split(defense_recommendations, ' | ')) as x from top3) q) as actions, 3 as next_actions""")
 def incident_report(spark, sf_dir):
     rows = _preds(spark, sf_dir)
     # Three rows, read by the checklist and by the report: found once.
@@ -331,12 +331,12 @@ def _merged(spark, sf_dir):
 
 
 @query("conform_training", views=("raw_docs",), sql="""
-select doc_id, "timestamp", source_ip, cast(coalesce(try_cast(country as double), 0) as double) as geoip_country, cast(0 as double) as geoip_city, coalesce(is_attack, false) as is_attack, cast(null as int) as hour
+select doc_id, "timestamp", source_ip, cast(coalesce(try_cast(country as double), 0) as double) as geoip_country, cast(0 as double) as geoip_city, coalesce(is_attack, false) as is_attack, cast(null as varchar) as log_type
 from raw_docs""")
 def conform_training(spark, sf_dir):
-    docs = view(spark, sf_dir, "raw_docs").withColumnRenamed("country", "geoip_country").withColumn("host", F.lit("h"))
+    docs = view(spark, sf_dir, "raw_docs").drop("log_type").withColumnRenamed("country", "geoip_country").withColumn("host", F.lit("h"))
     rows = bal.conform_training(docs, keep=("doc_id",))
-    return rows.select("doc_id", "timestamp", "source_ip", "geoip_country", "geoip_city", "is_attack", "hour")
+    return rows.select("doc_id", "timestamp", "source_ip", "geoip_country", "geoip_city", "is_attack", "log_type")
 
 
 @query("rebalance_sources", views=("auth_log",), ctes=SOURCES, sql="""
