@@ -8,6 +8,7 @@ import sys
 
 from wardlog.plans import pipeline
 from wardlog.session import build_session
+from wardlog.sources.readers import SOURCE_DATASETS
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -16,7 +17,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     watch = commands.add_parser("monitor", help="score logs and write alerts")
     watch.add_argument("--model", action="append", required=True, help="saved model; repeat in order of preference")
     watch.add_argument("--logs", help="log table written by the routed sink")
-    watch.add_argument("--datasets", default=",".join(("test-logs-*", "ssh-logs-*", "filebeat-*", "logstash-*", "logs-*")))
+    watch.add_argument("--datasets", default=",".join(SOURCE_DATASETS))
     watch.add_argument("--hours", type=int, default=8760)
     watch.add_argument("--log-type", choices=("ssh", "web", "all"), default="ssh")
     watch.add_argument("--max-docs", type=int, default=0)

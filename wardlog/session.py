@@ -7,13 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every job relies on. Timestamps are naive UTC throughout, and
-# adaptive execution sizes the shuffles and splits partitions that turn out skewed.
+# Runtime settings every job relies on. Timestamps are naive UTC throughout;
+# adaptive execution sizes the shuffles and splits partitions that turn out skewed;
+# streaming state lives on disk, and bursts of a busy address merge before the shuffle.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
