@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlog.llm import licenses, packing, sharding, simhash
+from wardlog.llm import licenses, packing, sharding, simhash, substring_trees, suffix_runs
 from wardlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,18 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.catalogue(spark))
 
 
+@query("op3_substring_dedup")
+def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_trees.remove_windows(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_dedup")
+def repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_runs.remove_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_packing")
 def pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
