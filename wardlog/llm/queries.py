@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlog.llm import decontaminate, licenses, packing, sharding, simhash, substring_trees, suffix_runs, toxicity
+from wardlog.llm import decontaminate, embeddings, licenses, packing, sharding, simhash, substring_trees, suffix_runs, toxicity
 from wardlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
 
 
+@query("op9_embedding_near_dedup")
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_sharding")
 def shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
