@@ -240,3 +240,14 @@ def weakest(shortest: int, span: int, error: float) -> tuple[int, int, int]:
     """Longest reach and smallest demand over all item lengths from ``shortest`` on."""
     all_of = [budget(n, span, error) for n in range(shortest, max(shortest, span) + 1)]
     return max(s for s, _, _ in all_of), max(e for _, e, _ in all_of), min(t for _, _, t in all_of)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, error: float = ERROR) -> DataFrame:
+    """The rows of ``docs`` that leak no item, with all their columns.
+
+    Whether a row leaks depends on its text alone, so a hash of the text leads back to the rows.
+    """
+    digest = F.xxhash64(F.col("text").cast("string"))
+    found = leaks(docs.select("doc_id", "text", digest.alias("row")), benchmark, span, error)
+    leaking = found.select(F.col("doc_id").alias("k_doc"), F.col("row").alias("k_digest")).distinct()
+    return docs.join(leaking, docs.doc_id.eqNullSafe(leaking.k_doc) & (digest == leaking.k_digest), "left_anti")

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlog.llm import decontaminate, embeddings, licenses, packing, sharding, simhash, substring_trees, suffix_runs, toxicity
+from wardlog.llm import decontaminate, embeddings, licenses, packing, quality, sharding, simhash, substring_trees, suffix_runs, toxicity
 from wardlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op4_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_suffix_dedup")
 def repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_runs.remove_substrings(table(spark, sf_dir, "documents"))

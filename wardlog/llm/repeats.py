@@ -30,6 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardlog.llm.common import NULL_ID, gram_hashes, ids_column, slice_hashes, text_column, word_slices
 from wardlog.session import materialize
@@ -103,50 +104,59 @@ def find_anchors(symbols: Symbols, spec: Spec) -> np.ndarray:
     return np.flatnonzero(slide(np.maximum, np.concatenate([pad, least, pad]), spec.reach) == hashes)
 
 
-BLOCK = "block bigint, ids binary, rows binary, sizes binary, text binary, anchors binary, sample binary"
+BLOCK = "block bigint, ids binary, others binary, sizes binary, text binary, anchors binary, sample binary"
 SAMPLE = 32
 
 
 def pack_blocks(docs: DataFrame, spec: Spec, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of documents with their anchors, stored. ``docs``: doc_id, row, text."""
+    """Blocks of documents with their anchors, stored. ``docs``: doc_id, text, and what else is to be carried along."""
     def run(batches):
-        held: list[tuple] = []
+        texts: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+        others: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            data, offsets = text_column(batch.column(2))
-            ids, rows = ids_column(batch.column(0)), ids_column(batch.column(1))
-            for k in range(len(ids)):
-                part = data[offsets[k]:offsets[k + 1]]
-                held.append((ids[k], rows[k], part))
-                size += len(part)
+            data, offsets = text_column(batch.column(1))
+            keys, rest = ids_column(batch.column(0)), batch.select(batch.schema.names[2:])
+            begin = 0
+            for k in range(len(keys)):
+                texts.append(data[offsets[k]:offsets[k + 1]])
+                size += len(texts[-1])
+                if size >= block_bytes or k + 1 == len(keys):
+                    ids.append(keys[begin:k + 1])
+                    others.append(rest.slice(begin, k + 1 - begin))
+                    begin = k + 1
                 if size >= block_bytes:
-                    yield block(held)
-                    held, size = [], 0
-        if held:
-            yield block(held)
-
-    def block(held: list[tuple]) -> pa.RecordBatch:
-        data = np.concatenate([h[2] for h in held])
-        offsets = np.concatenate([[0], np.cumsum([len(h[2]) for h in held])]).astype(np.int64)
+                    yield block(texts, ids, others)
+                    texts, ids, others, size = [], [], [], 0
+        if texts:
+            yield block(texts, ids, others)
+
+    def block(texts: list[np.ndarray], ids: list[np.ndarray], others: list[pa.RecordBatch]) -> pa.RecordBatch:
+        data = np.concatenate(texts)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         symbols = read_symbols(data, offsets, spec)
         anchors = find_anchors(symbols, spec)
         sample = np.zeros(0, np.uint8)
         if not spec.words and len(anchors):
             some = anchors[np.linspace(0, len(anchors) - 1, min(SAMPLE, len(anchors))).astype(np.int64)]
             sample = symbols.values[some[:, None] + np.arange(spec.gram)]
-        columns = [np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64), np.diff(offsets),
-                   data, np.diff(anchors, prepend=0).astype(np.uint32), sample]
+        carried = pa.BufferOutputStream()
+        with pa.ipc.new_stream(carried, others[0].schema) as stream:
+            for part in others:
+                stream.write_batch(part)
+        columns = [np.concatenate(ids), np.frombuffer(carried.getvalue(), np.uint8), np.diff(offsets), data,
+                   np.diff(anchors, prepend=0).astype(np.uint32), sample]
         return pa.RecordBatch.from_arrays([pa.array([shut(c)], pa.binary()) for c in columns],
-                                          names=["ids", "rows", "sizes", "text", "anchors", "sample"])
+                                          names=["ids", "others", "sizes", "text", "anchors", "sample"])
 
-    packed = docs.select("doc_id", "row", "text").mapInArrow(run, BLOCK.replace("block bigint, ", ""))
+    packed = docs.mapInArrow(run, BLOCK.replace("block bigint, ", ""))
     return materialize(packed.withColumn("block", F.monotonically_increasing_id()).select(
         *[c.split()[0] for c in BLOCK.split(", ")]), "blocks")
 
 
 class Block(NamedTuple):
     ids: np.ndarray
-    rows: np.ndarray
     data: np.ndarray
     offsets: np.ndarray
     symbols: Symbols
@@ -161,7 +171,7 @@ def open_block(row: dict, spec: Spec) -> Block:
     data = opened(row["text"], np.uint8)
     offsets = np.concatenate([[0], np.cumsum(opened(row["sizes"], np.int64))]).astype(np.int64)
     anchors = np.cumsum(opened(row["anchors"], np.uint32).astype(np.int64))
-    return Block(opened(row["ids"], np.int64), opened(row["rows"], np.int64), data, offsets,
+    return Block(opened(row["ids"], np.int64), data, offsets,
                  read_symbols(data, offsets, spec), anchors)
 
 
@@ -218,7 +228,7 @@ def shared_grams(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
                          "bucket": part.column("bucket").take(pa.array(keep, pa.int64())),
                          "lows": pa.array([found[k].tobytes() for k in keep], pa.binary())})
 
-    sent = blocks.select("block", "ids", "rows", "sizes", "text", "anchors").mapInArrow(
+    sent = blocks.select("block", "ids", "sizes", "text", "anchors").mapInArrow(
         send, "bucket bigint, block bigint, lows binary, again binary")
     return sent.groupBy("bucket").applyInArrow(meet, "block bigint, bucket bigint, lows binary")
 
@@ -389,18 +399,20 @@ def with_lists(blocks: DataFrame, lists: DataFrame, name: str, *columns: str) ->
 
 
 def remove_repeats(docs: DataFrame, spec: Spec, deal: Callable, combine: Callable, cut: Callable, schema: str,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   carry: list[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The steps above around an operator's own exchange.
 
     ``deal(blocks, parts)`` returns a function that maps the sorted suffixes of a block to ``(part, blob)`` pairs;
     ``combine(blobs, blocks)`` brings one part together and returns answers by block; ``cut(block, mask)``
-    gives the columns of ``schema`` for the documents of a block.
+    gives the columns of ``schema`` for the documents of a block. Columns named in ``carry`` are added to the result
+    with the prefix ``carried_``.
     """
-    keyed = docs if "row" in docs.columns else docs.withColumn("row", F.lit(0).cast("bigint"))
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        *[F.col(f"`{c}`").alias(f"carried_{c}") for c in carry])
     blocks = pack_blocks(keyed, spec, block_bytes)
     parts = max(1, -(-blocks.count() // BLOCKS_PER_PART))
     shared = materialize(shared_grams(blocks, spec, parts), "shared-grams")
-    content = blocks.drop("sample")
+    content = blocks.drop("sample", "others")
     sender = deal(blocks, parts)
 
     def send(batches):
@@ -434,11 +446,16 @@ def remove_repeats(docs: DataFrame, spec: Spec, deal: Callable, combine: Callabl
             members = [opened(c["blob"], MEMBER) for c in came if c["own"]]
             results = [opened(c["blob"], RESULT) for c in came if not c["own"]]
             mask = covered(block, spec, members[0] if members else np.zeros(0, MEMBER), results)
-            yield cut(block, mask)
+            result = cut(block, mask)
+            carried = pa.ipc.open_stream(zstandard.decompress(row["others"])).read_all().combine_chunks().to_batches()
+            if carry:
+                result = pa.RecordBatch.from_arrays(result.columns + carried[0].columns, names=result.schema.names + carried[0].schema.names)
+            yield result
 
     sent = with_lists(content, shared, "came", "bucket", "lows").mapInArrow(send, "part bigint, block bigint, blob binary")
     back = sent.groupBy("part").applyInArrow(meet, "block bigint, own boolean, blob binary")
-    return with_lists(content, back, "came", "own", "blob").mapInArrow(finish, schema)
+    fields = StructType([*StructType.fromDDL(schema).fields, *keyed.schema.fields[2:]])
+    return with_lists(blocks.drop("sample"), back, "came", "own", "blob").mapInArrow(finish, fields)
 
 
 def null_ids(ids: np.ndarray) -> pa.Array:

@@ -56,13 +56,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row; a null text has no words."""
+    """``doc_id, digest, fp`` (signed 64-bit) of every row; a null text has no words.
+
+    The digest is a hash of the text, by which rows are told apart that share an id or have none.
+    """
     def run(batches):
         for batch in batches:
             found = [fingerprint(t or b"", shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             signed = np.array(found, np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "fp"])
-    return texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(signed)], names=["doc_id", "digest", "fp"])
+    return texts(docs).withColumn("digest", F.xxhash64("text")).mapInArrow(run, "doc_id bigint, digest bigint, fp bigint")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -105,6 +108,15 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return around.join(centre, "mid").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
+def grouped(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Stored fingerprints, and the root fingerprint ``fp, root`` of each."""
+    prints = materialize(fingerprints(docs, shingle), "fingerprints")
+    roots = components(near_links(prints, radius))
+    values = prints.select("fp").distinct()
+    rooted = values.join(roots, values.fp == roots.node, "left").select("fp", F.coalesce("component", "fp").alias("root"))
+    return prints, materialize(rooted, "simhash-groups")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` per row: the smallest id reachable over links.
 
@@ -112,15 +124,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     fingerprint zero. A row without an id is returned with a null id and takes part in its
     group's links; a group of such rows only has a null component. Repeated ids stay repeated.
     """
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
-    roots = components(near_links(prints, radius))
-    groups = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = groups.join(roots, groups.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root"))
-    joined = materialize(joined, "simhash-groups")
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labelled = joined.join(least, "root").select("fp", "component_id")
-    return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
+    prints, rooted = grouped(docs, shingle, radius)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(rooted, "fp").groupBy("root").agg(
+        F.min("least").alias("component_id"))
+    return prints.join(rooted.join(least, "root"), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near-duplicates keeps one.
+
+    The smallest id stays (a row without id only if its group has none with one; then, and among repeated ids, the
+    smallest text hash). Of wholly repeated rows one stays.
+    """
+    prints, rooted = grouped(docs, shingle, radius)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "digest")
+    first = prints.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    kept = first.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    copies = prints.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    keys = kept.select(F.col("first.doc_id").alias("k_doc"), F.col("first.digest").alias("k_digest"))
+    keys = materialize(keys.join(copies, keys.k_doc.eqNullSafe(copies.doc_id) & (keys.k_digest == copies.digest)).select(
+        "k_doc", "k_digest", "copies"), "kept-keys")
+    digest = F.xxhash64(F.col("text").cast("string"))
+
+    def matching(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs.doc_id.eqNullSafe(some.k_doc) & (digest == some.k_digest), "left_semi")
+    out = matching(keys.where("copies = 1"))
+    if keys.where("copies > 1").limit(1).count():
+        out = out.union(matching(keys.where("copies > 1")).dropDuplicates(["doc_id", "text"]))
+    return out
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlog.llm.common import texts
 from wardlog.llm.repeats import (
     BLOCK_BYTES, Block, Spec, Suffixes, answers, common_prefix, null_ids, open_block, opened, record_rows, remove_repeats,
     resolve, shut, span_counts, totals)
@@ -95,10 +94,11 @@ def topmost(nodes: list[tuple[int, int, int]], rows: int) -> list[tuple[int, int
     return out
 
 
-def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, row, kept`` (binary, words joined by blanks), ``n_words, n_removed, n_spans`` per row.
+def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
+                   carry: list[str] | None = None) -> DataFrame:
+    """``doc_id, kept`` (binary, words joined by blanks), ``n_words, n_removed, n_spans`` per row.
 
-    ``docs`` has ``doc_id`` and ``text``; a ``row`` column (bigint) is passed through, else 0. A null text has no
+    Other columns named in ``carry`` follow as ``carried_<name>``. A null text has no
     words; a missing id counts as smaller than all others; rows with equal ids are compared by position.
     Words are compared by 32 bits of their hash each, windows therefore by 640 bits.
     """
@@ -164,10 +164,9 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         offsets = np.concatenate([[0], np.cumsum(np.diff(edge) - some)]).astype(np.int32)
         binary = pa.Array.from_buffers(pa.binary(), len(removed), [None, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
         return pa.RecordBatch.from_arrays([
-            null_ids(block.ids), pa.array(block.rows, pa.int64()), binary, pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
-            pa.array(span_counts(mask, bounds), pa.int64())], names=["doc_id", "row", "kept", "n_words", "n_removed", "n_spans"])
+            null_ids(block.ids), binary, pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
+            pa.array(span_counts(mask, bounds), pa.int64())], names=["doc_id", "kept", "n_words", "n_removed", "n_spans"])
 
-    schema = "doc_id bigint, row bigint, kept binary, n_words bigint, n_removed bigint, n_spans bigint"
-    keyed = texts(docs) if "row" not in docs.columns else docs.select("doc_id", "row", "text")
-    return remove_repeats(keyed, spec, deal, combine, cut, schema, block_bytes)
+    schema = "doc_id bigint, kept binary, n_words bigint, n_removed bigint, n_spans bigint"
+    return remove_repeats(docs, spec, deal, combine, cut, schema, carry or [], block_bytes)
 

@@ -17,8 +17,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from wardlog.llm.common import texts
 from wardlog.llm.repeats import (
     BLOCK_BYTES, Block, Spec, Suffixes, answers, common_prefix, null_ids, opened, remove_repeats, resolve, runs_of, shut,
     span_counts, totals)
@@ -105,10 +106,11 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int,
             node >>= 1
 
 
-def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, row, kept`` (binary), ``n_bytes, n_removed, n_spans`` per row.
+def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
+                      carry: list[str] | None = None) -> DataFrame:
+    """``doc_id, kept`` (binary), ``n_bytes, n_removed, n_spans`` per row.
 
-    ``docs`` has ``doc_id`` and ``text``; a ``row`` column (bigint) is passed through, else 0. A null text is empty; a
+    Other columns named in ``carry`` follow as ``carried_<name>``. A null text is empty; a
     missing id counts as smaller than all others; rows with equal ids do not count as earlier than one
     another. Texts shorter than ``length`` stay whole. No rows give no rows.
     """
@@ -168,9 +170,30 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
         offsets = np.concatenate([[0], np.cumsum(np.diff(bounds) - removed)]).astype(np.int32)
         binary = pa.Array.from_buffers(pa.binary(), len(removed), [None, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
         return pa.RecordBatch.from_arrays([
-            null_ids(block.ids), pa.array(block.rows, pa.int64()), binary, pa.array(np.diff(bounds), pa.int64()), pa.array(removed, pa.int64()),
-            pa.array(span_counts(mask, bounds), pa.int64())], names=["doc_id", "row", "kept", "n_bytes", "n_removed", "n_spans"])
+            null_ids(block.ids), binary, pa.array(np.diff(bounds), pa.int64()), pa.array(removed, pa.int64()),
+            pa.array(span_counts(mask, bounds), pa.int64())], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    schema = "doc_id bigint, row bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
-    keyed = texts(docs) if "row" not in docs.columns else docs.select("doc_id", "row", "text")
-    return remove_repeats(keyed, spec, deal, combine, cut, schema, block_bytes)
+    schema = "doc_id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
+    return remove_repeats(docs, spec, deal, combine, cut, schema, carry or [], block_bytes)
+
+
+def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeated substrings cut out of ``text``; all rows and columns stay.
+
+    Where a cut leaves part of a character, the part goes too. ``n_chars``, if there, is counted anew.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+
+    def run(batches):
+        for batch in batches:
+            kept = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), *batch.columns[2:]], names=names)
+
+    found = remove_substrings(docs, length, carry=others).drop("n_bytes", "n_removed", "n_spans")
+    names = ["doc_id", "text", *others]
+    fields = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                         *[StructField(c, docs.schema[c].dataType) for c in others]])
+    out = found.mapInArrow(run, fields)
+    if "n_chars" in others:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

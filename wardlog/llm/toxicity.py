@@ -269,7 +269,7 @@ def regression(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, toxic:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from training labels. Without any toxic or any clean label every score is the share of toxic ones."""
+    """Learn from training labels of given documents. Without any, every score is the same low one."""
     trigrams, bigrams = character_counts(docs)
     chosen = sampled_labels(labels, sample_rows).collect()  # bounded: the sample
     spark = docs.sparkSession
@@ -291,6 +291,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         toxic.append(r.toxic)
         weight.append(r.weight)
         found.append(Counter({u: int(n) for u, n in (x.split("\t") for x in r.units.split("\n") if x)}))
+    if not found:
+        return Model(trigrams, bigrams, {}, np.zeros(0), -3.0)
     toxic, weight = np.array(toxic, float), np.array(weight, float)
     names = choose_units(found, toxic)
     cells = [(i, names[u], math.log1p(n)) for i, counts_ in enumerate(found) for u, n in counts_.items() if u in names]
@@ -299,19 +301,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     return Model(trigrams, bigrams, names, w, b)
 
 
+class Rater:
+    """Scores texts; a text without telling words gets the base rate."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.read = Reader(CharacterModel(model.trigrams, model.bigrams), model.units)
+
+    def __call__(self, text: str | None) -> float:
+        margin = self.model.bias + sum(self.model.weights[u] * math.log1p(n) for u, n in self.read(text).items())
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, margin))))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, row, score`` of every row; a text without telling words gets the base rate."""
     row = F.col("row") if "row" in docs.columns else F.lit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
-        reader = Reader(CharacterModel(m.trigrams, m.bigrams), m.units)
+        rate = Rater(shared.value)
         for batch in batches:
-            out = []
-            for text in batch.column(2).to_pylist():
-                margin = m.bias + sum(m.weights[u] * math.log1p(n) for u, n in reader(text).items())
-                out.append(1 / (1 + math.exp(-max(-40.0, min(40.0, margin)))))
+            out = [rate(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([ids_back(ids_column(batch.column(0))), batch.column(1), pa.array(out, pa.float64())],
                                              names=["doc_id", "row", "score"])
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.cast("bigint").alias("row"), "text").mapInArrow(
@@ -328,3 +338,16 @@ def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     return score(docs, model).select(
         "doc_id", "row", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        rate = Rater(model.value)
+        for batch in batches:
+            clean = [rate(t) < threshold for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
