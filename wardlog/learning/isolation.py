@@ -116,19 +116,29 @@ class IsolationForestModel:
 
 
 def fit_isolation_forest(df: DataFrame, features: list[str], key: str, trees: int = 100, sample: int = 256,
-                         pool: int = 8192, seed: int = 42) -> IsolationForestModel:
-    """Fit on hash-drawn subsamples: ``sample`` rows per tree out of a pool of
-    ``pool`` rows, which the table's hash bound selects without a shuffle."""
+                         seed: int = 42) -> IsolationForestModel:
+    """Fit on hash-drawn subsamples of the whole table.
+
+    A hash bound draws ``trees * sample`` rows without a shuffle, and each tree gets its own ``sample`` of
+    them; a table with fewer rows is dealt to the trees in turn, every tree drawing from all its rows.
+    """
     spark = df.sparkSession
     slim = df.select(F.col(key).cast("string").alias("_key"),
                      F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-    quota = spark.range(1).select(F.lit(pool).alias("rank"))
-    n = slim.agg(F.count(F.lit(1)).alias("n")).scalar()
-    quota = quota.select(F.least("rank", n).alias("rank"))
-    drawn = lowest_by_hash(slim, [], hash_order(F.col("_key"), seed), quota).where("_picked")
-    spread = drawn.select("_key", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    nth = F.row_number().over(Window.partitionBy("tree").orderBy(F.md5(F.concat_ws("#", "_key", "tree"))))
-    subsamples = spread.withColumn("_nth", nth).where(F.col("_nth") <= sample)
+    wanted = trees * sample
+    total = slim.count()
+    quota = spark.range(1).select(F.lit(min(wanted, total)).alias("rank"))
+    order = hash_order(F.col("_key"), seed)
+    if total > wanted:
+        # Bounded by trees * sample rows from here on; consecutive places in hash order make one tree's sample.
+        drawn = lowest_by_hash(slim, [], order, quota).where("_picked")
+        place = F.row_number().over(Window.orderBy(order)) - 1
+        subsamples = drawn.select("_key", "x", place.alias("_place")).select(
+            "_key", "x", F.floor(F.col("_place") / sample).cast("int").alias("tree"), "_place").withColumnRenamed("_place", "_nth")
+    else:
+        spread = slim.select("_key", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        nth = F.row_number().over(Window.partitionBy("tree").orderBy(F.md5(F.concat_ws("#", "_key", "tree"))))
+        subsamples = spread.withColumn("_nth", nth).where(F.col("_nth") <= sample)
 
     def build(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         ordered = rows.sort_values("_nth")
@@ -137,5 +147,5 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, trees: in
     nodes = subsamples.groupBy("tree").applyInPandas(build, NODE)
     # At most trees * (2 * sample - 1) rows by construction.
     collected = nodes.toPandas()
-    largest = int(min(sample, spread.where("tree = 0").count()))
+    largest = int(min(sample, total))
     return IsolationForestModel(features, largest, collected)

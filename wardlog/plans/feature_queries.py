@@ -31,16 +31,14 @@ def _web(spark, sf_dir):
 
 @query("brute_force_report", views=("auth_log",), ctes=PARSED + "," + WINDOWED, sql="""
 select s.source_ip, count(*) as failed_logins, max(f.in_window) as peak_in_window, count(distinct s."user") as users
-from ssh s join failed f using (event_id) where s.is_attack group by s.source_ip
-order by peak_in_window desc, failed_logins desc, source_ip limit 20""")
+from ssh s join failed f using (event_id) where s.is_attack group by s.source_ip""")
 def brute_force_report(spark, sf_dir):
     attacks = ssh_events(spark, sf_dir).where("is_attack")
     windowed = win.trailing_counts(attacks.where("status = 'failed'"), "source_ip", "timestamp", WINDOW_MINUTES)
     peaks = windowed.groupBy("source_ip").agg(
         F.sum("n_here").alias("failed_logins"), F.max("n_window").alias("peak_in_window"))
     users = attacks.groupBy("source_ip").agg(F.count_distinct("user").alias("users"))
-    return (peaks.join(users, "source_ip").orderBy(F.col("peak_in_window").desc(), F.col("failed_logins").desc(), "source_ip")
-            .limit(20).select("source_ip", "failed_logins", "peak_in_window", "users"))
+    return peaks.join(users, "source_ip").select("source_ip", "failed_logins", "peak_in_window", "users")
 
 
 @query("dedup_rows", sql="""

@@ -21,8 +21,7 @@ from wardlog.sources import writers as wr
 
 # Lines per rendered file: small enough to give several here, at most a million
 # (about 100 MB) on large tables.
-FEW_LINES, MANY_LINES, FILES = 2500, 1_000_000, 40
-SQL_LINES = f"(select least({MANY_LINES}, greatest({FEW_LINES}, count(*) // {FILES})) from events)"
+FILE_LINES = 2500
 
 # SQL twins of the SSH message parse, over a relation with a "message" column.
 SQL_IP = r"""coalesce(nullif(regexp_extract(message, 'from\s+([\d\.]+)', 1), ''),
@@ -77,9 +76,8 @@ def _line_files(spark: SparkSession, sf_dir: str) -> str:
     """The auth log as text files of consecutive lines, each in line order."""
     path = scratch_path(spark, "auth-lines")
     log = auth_lines(spark, sf_dir)
-    size = log.agg(F.least(F.lit(MANY_LINES), F.greatest(F.lit(FEW_LINES), F.floor(F.count(F.lit(1)) / FILES))).alias("v"))
     lines = log.select(
-        F.floor(F.col("event_id") / size.scalar()).alias("chunk"), "event_id",
+        F.floor(F.col("event_id") / FILE_LINES).alias("chunk"), "event_id",
         F.when(F.col("event_id") % 100 == 99, F.concat(F.lit("# "), "message")).otherwise(F.col("message")).alias("value"))
     (lines.repartition("chunk").sortWithinPartitions("chunk", "event_id").drop("event_id")
      .write.partitionBy("chunk").text(path))
@@ -93,7 +91,7 @@ def text_log_scan(spark, sf_dir):
 
 
 @query("file_line_numbers", views=("auth_log",), sql=f"""
-select cast(event_id // {SQL_LINES} as bigint) as chunk, event_id % {SQL_LINES} + 1 as line_no,
+select cast(event_id // {FILE_LINES} as bigint) as chunk, event_id % {FILE_LINES} + 1 as line_no,
   case when event_id % 100 = 99 then '# ' || message else message end as value from auth_log""")
 def file_line_numbers(spark, sf_dir):
     lines = rd.read_numbered_lines(spark, _line_files(spark, sf_dir) + "/chunk=*")

@@ -25,7 +25,6 @@ from wardlog.sources import readers as rd
 from wardlog.sources import writers as wr
 
 RETRIES, WAIT_SECONDS = 1, 8.0
-PRIORITY_ROWS = 30
 
 
 def collect_text_logs(spark: SparkSession, path: str | list[str], base_year: int) -> DataFrame:
@@ -90,18 +89,20 @@ class MonitoringResult:
 
 def monitor(spark: SparkSession, events: DataFrame, detector: Detector, out: str, model_name: str = "unified",
             run_id: str = "run", stamp: str = "now", window_minutes: int = 5, source: str = "log table") -> MonitoringResult:
-    """Score events, write alerts and the incident report, return the views."""
+    """Score events, write alerts and the incident report, return the views.
+
+    The report covers all alerts of the run.
+    """
     prepared = ft.preprocess(numbered(ft.clean(events)), "ssh", window_minutes, cleaned=False)
     scored = detector.predict(prepared).withColumn("ml_model", F.lit(model_name))
     predictions = materialize(scored, "predictions")
     alerts = materialize(wr.alert_rows(predictions, model_name, dedup_order="event_id"), "alerts")
     wr.write_alerts(alerts.drop("event_id"), f"{out}/alerts", run_id)
     feed = alerts.withColumnRenamed("@timestamp", "timestamp")
-    latest = materialize(rd.latest_alerts(feed, PRIORITY_ROWS, model=model_name, tie="event_id"), "latest")
-    top = materialize(rsp.priority_alerts(latest), "top-alerts")
+    top = materialize(rsp.priority_alerts(feed, tie=("timestamp", "source_ip", "event_id")), "top-alerts")
     order = [-F.coalesce(F.col("ml_anomaly_score").try_cast("double"), F.lit(0.0)), F.col("timestamp"), F.col("source_ip")]
     report = materialize(rsp.incident_report(
-        latest, rsp.defense_checklist(top, order), top, source, model_name, run_id, F.current_timestamp()), "report")
+        feed, rsp.defense_checklist(top, order), top, source, model_name, run_id, F.current_timestamp()), "report")
     wr.write_incident(report, f"{out}/reports", stamp)
     return MonitoringResult(predictions, alerts, rsp.prediction_summary(predictions), report,
                             act.hourly_attack_table(predictions))

@@ -199,11 +199,12 @@ def defense_top_addresses(spark, sf_dir):
 
 PRIORITY = RECOMMENDED + """,
 top3 as (select event_id, "timestamp", source_ip, attack_type, ml_model, ml_anomaly_score, defense_recommendations, is_attack, ml_anomaly from recommended
-  where ml_anomaly order by ml_anomaly_score desc, "timestamp", source_ip limit 3)"""
+  where ml_anomaly order by ml_anomaly_score desc, "timestamp", source_ip, event_id limit 3)"""
+TIE = ("timestamp", "source_ip", "event_id")
 
 
 def _top3(spark, sf_dir):
-    return rsp.priority_alerts(rsp.attach_recommendations(_preds(spark, sf_dir)))
+    return rsp.attach_recommendations(rsp.priority_alerts(_preds(spark, sf_dir), tie=TIE))
 
 
 @query("priority_alerts", views=("predictions",), ctes=PRIORITY, sql="""
@@ -234,7 +235,7 @@ select cast(pos as int) as pos, strftime("timestamp", '%Y-%m-%d %H:%M:%S') || '
   || ' | score=' || printf('%.4f', ml_anomaly_score) || ' | model=' || ml_model || ' | rec=' || defense_recommendations as line from shown
 where pos <= case when (select bool_or(ml_anomaly) from latest) then 10 else 5 end""")
 def alert_feed(spark, sf_dir):
-    latest = rd.latest_alerts(rsp.attach_recommendations(_preds(spark, sf_dir)), 10, tie="event_id")
+    latest = rsp.attach_recommendations(rd.latest_alerts(_preds(spark, sf_dir), 10, tie="event_id"))
     order = [-F.unix_micros("_at"), F.col("event_id")]
     shaped = latest.withColumn("_at", F.col("timestamp")).withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).withColumn(
@@ -254,21 +255,45 @@ def incident_summary(spark, sf_dir):
     return rsp.incident_summary(_preds(spark, sf_dir)).drop("_kind")
 
 
-@query("incident_report", views=("predictions",), ctes=PRIORITY, sql="""
-select (select case when count(*) filter (where ml_anomaly) >= greatest(3, count(*) // 5) then 'high' else 'medium' end from predictions) as severity, 'ATTACK DETECTED (ML confirmed)' as decision, (select count(*) from predictions) as records,
-  (select string_agg(source_ip || '=' || printf('%.4f', ml_anomaly_score), ',' order by ml_anomaly_score desc) from top3) as top_alerts,
-  (select cast(count(distinct lower(x)) as int) from (select unnest(string_split(defense_recommendations, ' | ')) as x from top3) q) as actions, 3 as next_actions""")
+def _case_sql(table: dict[str, str]) -> str:
+    return f"case when ml > 0 then {_sql_lit(table['ml'])} when rl > 0 then {_sql_lit(table['rule'])} else {_sql_lit(table['none'])} end"
+
+
+REPORT_SQL = f"""
+with c as (select count(*) as records, count(*) filter (where ml_anomaly) as ml, count(*) filter (where is_attack) as rl from predictions),
+parts as (select event_id, ml_anomaly_score, "timestamp", source_ip, string_split(defense_recommendations, ' | ') as l from top3),
+items as (select *, unnest(l) as item, generate_subscripts(l, 1) as p from parts),
+firsts as (select *, row_number() over (partition by lower(item) order by ml_anomaly_score desc, "timestamp", source_ip, p) as r from items),
+steps as (select item, row_number() over (order by ml_anomaly_score desc, "timestamp", source_ip, p) as pos from firsts where r = 1 qualify pos <= {rsp.CHECKLIST_ITEMS})
+select 'alerts' as source, 'unified' as model, 'ml-alerts-x' as run_index, {_case_sql(rsp.DECISIONS)} as decision, {_case_sql(rsp.CONCLUSIONS)} as executive_conclusion,
+  case when ml > 0 then case when ml >= greatest(3, records // 5) then 'high' else 'medium' end when rl > 0 then 'low' else 'info' end as severity,
+  {_case_sql({"ml": "high", "rule": "medium", "none": "low"})} as confidence, {_case_sql(rsp.ACTION_STATUS)} as action_status,
+  case when records <= {rsp.PREVIEW_ROWS} then 'preview_10_records' else 'expanded_records' end as data_scope,
+  case when records <= {rsp.PREVIEW_ROWS} then {_sql_lit(rsp.SCOPE_NOTES['preview'])} else {_sql_lit(rsp.SCOPE_NOTES['expanded'])} end as analysis_scope_note,
+  records, ml as ml_anomalies, rl as rule_warnings,
+  (select string_agg(strftime("timestamp", '%Y-%m-%d %H:%M:%S') || ' ' || source_ip || ' ' || coalesce(nullif(attack_type, ''), 'unknown') || ' ' || ml_model || ' '
+     || printf('%.4f', ml_anomaly_score) || ' ML_ATTACK ' || case when is_attack then 'RULE_ATTACK' else 'RULE_NORMAL' end || ' ' || defense_recommendations, chr(10)
+     order by ml_anomaly_score desc) from top3) as top_alerts,
+  (select string_agg(item, chr(10) order by pos) from steps) as defense_checklist,
+  {_case_sql({k: chr(10).join(v) for k, v in rsp.NEXT_ACTIONS.items()})} as next_actions
+from c"""
+
+
+@query("incident_report", views=("predictions",), ctes=PRIORITY, sql=REPORT_SQL)
 def incident_report(spark, sf_dir):
     rows = _preds(spark, sf_dir)
     # Three rows, read by the checklist and by the report: found once.
-    top = materialize(rsp.attach_recommendations(rsp.priority_alerts(rows)), "top-alerts")
-    checklist = rsp.defense_checklist(top, _checklist_order(), k=100)
-    report = rsp.incident_report(rows, checklist, top, "alerts", "unified", "ml-alerts-x", F.current_timestamp())
-    shown = F.transform("top_alerts", lambda a: F.concat(
-        a["source_ip"], F.lit("="), F.format_string("%.4f", a["ml_anomaly_score"])))
-    return report.select("severity", "decision", F.col("summary.records").alias("records"),
-                         F.array_join(shown, ",").alias("top_alerts"),
-                         F.size("defense_checklist").alias("actions"), F.size("next_actions").alias("next_actions"))
+    top = materialize(_top3(spark, sf_dir), "top-alerts")
+    report = rsp.incident_report(rows, rsp.defense_checklist(top, _checklist_order()), top.withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")), "alerts", "unified", "ml-alerts-x", F.current_timestamp())
+    shown = F.transform("top_alerts", lambda a: F.concat_ws(
+        " ", a["timestamp"], a["source_ip"], a["attack_type"], a["ml_model"], F.format_string("%.4f", a["ml_anomaly_score"]),
+        a["ml_label"], a["rule_label"], a["defense_recommendations"]))
+    return report.select(
+        "source", "model", "run_index", "decision", "executive_conclusion", "severity", "confidence", "action_status", "data_scope",
+        "analysis_scope_note", "summary.records", "summary.ml_anomalies", "summary.rule_warnings",
+        F.array_join(shown, "\n").alias("top_alerts"), F.array_join("defense_checklist", "\n").alias("defense_checklist"),
+        F.array_join("next_actions", "\n").alias("next_actions"))
 
 
 # --- alert table -------------------------------------------------------------
