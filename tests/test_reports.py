@@ -82,20 +82,19 @@ def test_model_tags(rows):
 
 
 @pytest.mark.parametrize("kind,hot,count", [
-    ("brute_force", True, 6), ("brute_force", False, 2), ("sql_injection", True, 5), ("xss", True, 4),
-    ("escalation", True, 4), ("escalation", False, 1), ("unknown", True, 3), ("other", False, 1), ("", True, 3), (None, True, 3)])
+    ("brute_force", True, 6), ("brute_force", False, 3), ("sql_injection", True, 5), ("sql_injection", False, 3), ("xss", True, 4), ("xss", False, 1),
+    ("escalation", True, 4), ("escalation", False, 2), ("unknown", True, 4), ("other", False, 2), ("", True, 4), (None, True, 4)])
 def test_recommendations(rows, kind, hot, count):
     out = rsp.attach_recommendations(rows([(kind, hot)], "attack_type string, ml_anomaly boolean")).first()
     assert len(out.defense_recommendations.split(" | ")) == count
 
 
 def test_recommendation_defaults(rows):
-    assert rsp.attach_recommendations(rows([(1,)], "x int")).first().defense_recommendations == "Watch more closely"
+    assert rsp.attach_recommendations(rows([(1,)], "x int")).first().defense_recommendations == " | ".join(t for t, _ in rsp.actions("unknown", "medium"))
     given = rows([("keep",)], "defense_recommendations string")
     assert rsp.attach_recommendations(given).first().defense_recommendations == "keep"
     text = rsp.recommendation_text(rows([("xss", "medium")], "attack_type string, severity string")).first().recommendation_text
-    assert text == ("1. Accept known formats only: Strip tags and script from input.\n"
-                    "2. Hide cookies from scripts: Mark session cookies as HTTP only.")
+    assert text == "\n".join(f"{i}. {t}: {d}" for i, (t, d) in enumerate(rsp.actions("xss", "medium"), start=1))
 
 
 def test_plan_and_summary(preds):
@@ -148,11 +147,19 @@ def test_report_document(preds):
     doc = json.loads(report.select(F.to_json(F.struct("*"))).first()[0])
     assert doc["severity"] == "high" and doc["run_index"] == "N/A (fallback mode)" and len(doc["next_actions"]) == 3
     assert [a["ml_anomaly_score"] for a in doc["top_alerts"]] == [0.99, 0.9, 0.5]
-    assert doc["top_alerts"][1]["defense_recommendations"] == "Encode output; Send a content policy; Accept known formats only"
+    assert doc["top_alerts"][1]["defense_recommendations"] == "; ".join(t for t, _ in rsp.actions("xss", "high")[:3])
     assert doc["defense_checklist"][0] == "Patch" and doc["summary"] == {"records": 8, "ml_anomalies": 4, "rule_warnings": 7}
     assert doc["executive_conclusion"] and doc["analysis_scope_note"]
 
 
+def test_a_playbook_can_be_given(spark, rows):
+    playbook = rows([("xss", "high", 1, "Own step", "d"), ("unknown", "high", 1, "Other step", "d")],
+                    "attack_type string, severity string, pos int, title string, detail string")
+    df = rows([("xss", True), ("odd", True), (None, True)], "attack_type string, is_attack boolean")
+    got = {r.attack_type: r.defense_recommendations for r in rsp.attach_recommendations(df, playbook).collect()}
+    assert got == {"xss": "Own step", "odd": "Other step", None: "Other step"}
+
+
 def test_report_without_checklist(rows, preds):
     none = rows([], "pos int, item string")
     doc = rsp.incident_report(preds, none, rsp.priority_alerts(preds.limit(0).withColumn("defense_recommendations", F.lit(""))),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wardlog.operators import records as rec
 from wardlog.schema import CANONICAL_EVENT, LABELLED_CSV, RAW_DOCUMENT, conform
+from wardlog.operators import respond as rsp
 from wardlog.sources import readers as rd
 from wardlog.sources import writers as wr
 
@@ -104,10 +105,12 @@ def test_alert_ids_make_rewrites_idempotent(spark, rows, tmp_path):
     alerts = wr.alert_rows(df, "m", dedup_order="id")
     got = {r.id: r for r in alerts.collect()}
     assert set(got) == {1, 3} and got[3].source_ip is None and got[1].is_attack and got[1].ml_anomaly
-    assert got[3].defense_recommendations == "Watch more closely"
+    assert got[3].defense_recommendations == " | ".join(t for t, _ in rsp.actions("unknown", "medium"))
     assert {r.alert_id for r in wr.alert_rows(df, "m", dedup_order="id").collect()} == {r.alert_id for r in got.values()}
-    wr.write_alerts(alerts, str(tmp_path / "a"), "r1")
-    assert (tmp_path / "a" / "alert_date=2024-01-01" / "run_id=r1").is_dir()
+    for run in ("r1", "r2", "r1"):  # a run written again replaces itself only
+        wr.write_alerts(alerts, str(tmp_path / "a"), run)
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    assert {(r.run_id, r["count"]) for r in stored.groupBy("run_id").count().collect()} == {("r1", 2), ("r2", 2)}
 
 
 def test_csv_files_are_listed_with_their_size(spark, tmp_path):

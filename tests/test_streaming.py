@@ -87,6 +87,21 @@ def test_throttle_per_key(spark, rows, tmp_path):
         assert sorted(int(r.detail) for r in out.where(F.col("key") == key).collect()) == [0, 45, 90, 200]
 
 
+def test_throttle_takes_a_batch_in_time_order_and_passes_missing_times(spark, rows, tmp_path):
+    late = [("a", T0 + dt.timedelta(seconds=s), str(s)) for s in (100, 0, 50, 30)] + [("a", None, "none")]
+    stream = feed(spark, tmp_path, "in", rows(late, "k string, timestamp timestamp, m string"))
+    out = drain(spark, jobs.throttle(stream, F.col("k"), F.col("m")), tmp_path, "out")
+    assert sorted(r.detail for r in out.collect()) == ["0", "100", "50", "none"]
+
+
+def test_lines_find_their_time(spark, rows):
+    lines = [("2024-03-05T10:11:12Z system started", "2024-03-05 10:11:12"), ("2024-03-05 10:11:12,345 [error] x", "2024-03-05 10:11:12.345000"),
+             ("1.2.3.4 - - [05/Mar/2024:17:11:12 +0700] failed", "2024-03-05 10:11:12"), ("Mar  5 10:11:12 h sshd[1]: x", "2024-03-05 10:11:12"), ("no time", "None")]
+    df = rows([(m,) for m, _ in lines], "message string").select("message", F.struct(F.lit("system").alias("log_type")).alias("fields"))
+    got = {r.message: str(r.timestamp) for r in jobs.enrich_lines(df, 2024).select("message", F.col("timestamp").cast("timestamp_ntz").alias("timestamp")).collect()}
+    assert got == dict(lines)
+
+
 def test_scoring_batches_write_once(spark, rows, tmp_path):
     data = [(i, T0 + dt.timedelta(minutes=i), f"10.0.0.{i % 5}", f"u{i % 3}", "failed" if i % 4 == 0 else "accepted", "m", i % 4 == 0)
             for i in range(80)]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Patterns and markers that decide what a line means.
 SYSLOG_LINE = r"^(\w{3}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+(\S+?)(?:\[(\d+)\])?:\s*(.*)$"
 SYSLOG_TIME = r"^([A-Z][a-z]{2}\s+\d{1,2}\s+\d{1,2}:\d{2}:\d{2})"
+LEADING_TIME = r"^\s*\[?(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:[.,]\d{1,9})?(?:Z|[+-]\d{2}:?\d{2})?)"
+BRACKETED_TIME = r"\[(\d{1,2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})\]"
 RECORD_START = r"^[A-Z][a-z]{2}\s+\d{1,2}\s"
 IP_AFTER_FROM = r"from\s+([\d\.]+)"
 IP_AFTER_FROM_V6 = r"from\s+([0-9A-Fa-f:\.]*[:\.][0-9A-Fa-f:\.]*)"
@@ -102,6 +104,18 @@ def syslog_timestamp(line: Column, base_year: int) -> Column:
         F.concat(F.lit(f"{base_year} "), stamp), F.lit("yyyy MMM d H:mm:ss"))
 
 
+def leading_timestamp(line: Column) -> Column:
+    """ISO-like time at the start of a line, with or without zone; null when there is none."""
+    stamp = F.regexp_extract(line, LEADING_TIME, 1)
+    return F.try_to_timestamp(F.nullif(F.replace(stamp, F.lit(","), F.lit(".")), F.lit("")))
+
+
+def line_timestamp(line: Column, base_year: int) -> Column:
+    """Time of a line in any of the layouts logs start with: syslog, ISO-like, or a bracketed access-log time."""
+    bracketed = F.nullif(F.regexp_extract(line, BRACKETED_TIME, 1), F.lit(""))
+    return F.coalesce(syslog_timestamp(line, base_year), leading_timestamp(line), access_timestamp(bracketed))
+
+
 def access_timestamp(stamp: Column) -> Column:
     return F.try_to_timestamp(stamp, F.lit("d/MMM/yyyy:HH:mm:ss Z"))
 

@@ -16,8 +16,6 @@ from pyspark.sql.types import MapType
 
 from wardlog.session import materialize
 
-# Statistics of at most this many keys are broadcast whole (some tens of MB).
-SMALL_STATS = 200_000
 # A key is heavy when it owns at least this share of the rows, so there can be
 # no more than 1/HEAVY_SHARE heavy keys: the heavy table is always small.
 HEAVY_SHARE = 1.0 / 1024
@@ -34,39 +32,35 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: list[str], values: list
                   weight: str, only: Column | None = None) -> DataFrame:
     """Left-join ``stats`` (one row per key) to ``df`` without hot partitions.
 
-    ``weight`` is a column of ``stats`` holding the row count of the key. The
-    statistics are written to the shared folder and counted. Up to
-    ``SMALL_STATS`` keys they are broadcast and ``df`` is not shuffled at all.
-    Beyond that only the heavy keys, at most ``1 / HEAVY_SHARE``, travel by
-    broadcast; the other keys go through an ordinary equi-join, in which rows
-    already answered, rows with a null key, and rows outside ``only`` are spread
-    by a content hash instead of meeting in one partition.
+    ``weight`` is a column of ``stats`` holding the row count of the key. The heavy keys, at
+    most ``1 / HEAVY_SHARE``, travel by broadcast; the others go through an ordinary equi-join (which
+    adaptive execution may turn into a broadcast by its bytes), in which rows already answered and rows
+    with a null key are spread by a content hash instead of meeting in one partition. Rows outside ``only``
+    take no part in the join and are not shuffled. Nothing runs before the result is used.
     """
-    stored = materialize(stats.select(*dict.fromkeys([*keys, weight, *values])), "stats")
-    wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    stats = stats.select(*dict.fromkeys([*keys, weight, *values]))
+    if only is not None:
+        asks = F.coalesce(only, F.lit(False))
+        types = dict(stats.dtypes)
+        others = df.where(~asks).select(*df.columns, *[F.lit(None).cast(types[v]).alias(v) for v in values])
+        return attach_by_key(df.where(asks), stats, keys, values, weight).unionByName(others)
+    is_heavy = F.col(weight) >= scalar(stats, F.sum(weight)) * F.lit(HEAVY_SHARE)
     packed = F.struct(*values)
-    if stored.count() <= SMALL_STATS:
-        small = stored.select(*keys, packed.alias("_found"))
-        rows = df.join(F.broadcast(small), keys, "left")
-        hit = F.when(wanted, F.col("_found"))
-        return rows.select(*df.columns, *[hit.getField(v).alias(v) for v in values])
-
-    is_heavy = F.col(weight) >= scalar(stored, F.sum(weight)) * F.lit(HEAVY_SHARE)
-    heavy = stored.where(is_heavy).select(*keys, packed.alias("_heavy"))
+    heavy = stats.where(is_heavy).select(*keys, packed.alias("_heavy"))
     # Slot and key form one struct: as separate join keys the constant slot of the
     # light side would be turned into a filter and no longer spread the rows.
     def slotted(slot: Column) -> Column:
         return F.struct(slot.alias("slot"), *keys)
 
-    light = stored.where(~is_heavy).select(
+    light = stats.where(~is_heavy).select(
         slotted(F.lit(0).cast("bigint")).alias("_key"), packed.alias("_light"))
     rows = df.join(F.broadcast(heavy), keys, "left")
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    searching = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], wanted)
+    searching = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col("_heavy").isNull())
     spread = F.xxhash64(*hashable).bitwiseOR(F.lit(1).cast("bigint"))
-    slot = F.when(searching & F.col("_heavy").isNull(), F.lit(0).cast("bigint")).otherwise(spread)
+    slot = F.when(searching, F.lit(0).cast("bigint")).otherwise(spread)
     joined = rows.withColumn("_key", slotted(slot)).join(light, "_key", "left")
-    found = F.when(wanted, F.coalesce(F.col("_heavy"), F.col("_light")))
+    found = F.coalesce(F.col("_heavy"), F.col("_light"))
     return joined.select(*df.columns, *[found.getField(v).alias(v) for v in values])
 
 

@@ -62,7 +62,7 @@ def grid_search(spark, sf_dir):
 def _unsupervised(spark, sf_dir, kind):
     detector = Detector(kind)
     events = ssh_events(spark, sf_dir)
-    detector.train(events, "event_id", trees=50, threshold_mode="tail")
+    detector.train(events, "event_id", threshold_mode="tail")
     return M.anomaly_rate(detector.predict(events))
 
 
@@ -79,7 +79,7 @@ def ocsvm_score(spark, sf_dir):
 @query("holdout_unsupervised")
 def holdout_unsupervised(spark, sf_dir):
     detector = Detector("isolation_forest")
-    return detector.train(ssh_events(spark, sf_dir), "event_id", time_split=True, trees=50).report
+    return detector.train(ssh_events(spark, sf_dir), "event_id", time_split=True).report
 
 
 @query("train_unified")

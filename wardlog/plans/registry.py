@@ -33,8 +33,8 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes:
             parts = [p for p in (duckdb_views(*views), ctes.strip().rstrip(",")) if p]
             final = sql.strip()
             if parts and final.startswith("with "):  # the text brings definitions of its own
-                head = ",\n".join(parts) + ",\n"
-                final = "with " + head + final.removeprefix("with ")
+                start = "with recursive " if final.startswith("with recursive ") else "with "
+                final = start + ",\n".join(parts) + ",\n" + final.removeprefix(start)
             elif parts:
                 final = "with " + ",\n".join(parts) + "\n" + final
             ORACLES[name] = final

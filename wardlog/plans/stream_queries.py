@@ -21,7 +21,7 @@ def _tail(spark, sf_dir):
 
 @query("stream_routing", views=("auth_log", "web_log"), sql="""
 select index_prefix, event_date, count(*) as n, count(*) filter (where hit) as attacks from (
-  select 'ssh-logs' as index_prefix, case when event_id % 100 <> 99 then cast(ts as date) end as event_date, event_type = 'error' as hit from auth_log
+  select 'ssh-logs' as index_prefix, case when event_id % 100 <> 99 then cast(ts as date) else current_date end as event_date, event_type = 'error' as hit from auth_log
   union all select 'web-logs', date '2023-12-31', false from web_log) q group by all""")
 def stream_routing(spark, sf_dir):
     path = scratch_path(spark, "routed")
@@ -56,14 +56,18 @@ def stream_failed_windows(spark, sf_dir):
 @query("stream_scored_alerts")
 def stream_scored_alerts(spark, sf_dir):
     detector = Detector("isolation_forest")
-    detector.train(ssh_events(spark, sf_dir), "event_id", trees=25)
+    detector.train(ssh_events(spark, sf_dir), "event_id")
     path = scratch_path(spark, "alerts")
     jobs.start_scoring(_event_stream(spark, sf_dir), detector, path, scratch_path(spark, "cp"),
                        available_now=True).awaitTermination()
     return spark.read.parquet(path).groupBy("run_id", "ml_model").agg(F.count(F.lit(1)).alias("alerts"))
 
 
-@query("stream_throttle")
+@query("stream_throttle", views=("auth_log",), ctes=PARSED, sql="""
+with recursive attacks as (select distinct source_ip as key, "timestamp" as t from ssh where is_attack),
+shown(key, t) as (select key, min(t) from attacks group by key
+  union all select s.key, (select min(a.t) from attacks a where a.key = s.key and a.t >= s.t + interval 3600 seconds) from shown s where s.t is not null)
+select key, count(t) as shown from shown group by key""")
 def stream_throttle(spark, sf_dir):
     attacks = _event_stream(spark, sf_dir).where("is_attack")
     shown = _drain(jobs.throttle(attacks, F.col("source_ip"), F.col("message"), 3600.0), spark)

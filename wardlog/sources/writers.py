@@ -20,12 +20,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def route(events: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Add ``index_prefix`` and ``event_date``, the partitions of the log table."""
+    """Add ``index_prefix`` and ``event_date``, the partitions of the log table.
+
+    A line without a time of its own is stored under the moment it arrives, so it is found again by time.
+    """
     tag = F.coalesce(F.col("log_type"), F.lit(""))
     ssh = (tag == "ssh") | F.coalesce(F.col("message").contains("sshd"), F.lit(False))
     prefix = (F.when(tag == "web", INDEX_PREFIX["web"])
               .when(ssh, INDEX_PREFIX["ssh"]).otherwise(DEFAULT_PREFIX))
-    return events.select("*", prefix.alias("index_prefix"), F.to_date(ts).alias("event_date"))
+    arrived = events.withColumn(ts, F.coalesce(F.col(ts), F.current_timestamp().cast(events.schema[ts].dataType)))
+    return arrived.select("*", prefix.alias("index_prefix"), F.to_date(ts).alias("event_date"))
 
 
 def dataset_name(prefix: str = "index_prefix", date: str = "event_date"):
@@ -42,6 +46,12 @@ def first_by(df: DataFrame, keys: list, order: str) -> DataFrame:
     return df.groupBy(*[k.alias(f"_g{i}") for i, k in enumerate(keys)]).agg(first.alias("_r")).select("_r.*")
 
 
+def first_alerts(alerts: DataFrame) -> DataFrame:
+    """One alert of each ``alert_id``: the one whose content hash is least."""
+    marked = alerts.withColumn("_order", F.xxhash64(*alerts.columns))
+    return first_by(marked, [F.col("alert_id")], "_order").drop("_order")
+
+
 def alert_rows(predictions: DataFrame, model: str | None = None, dedup_order: str | None = None,
                anomalies_only: bool = False) -> DataFrame:
     """Predictions as alert documents with a content-derived ``alert_id``.
@@ -76,10 +86,10 @@ def alert_rows(predictions: DataFrame, model: str | None = None, dedup_order: st
     return first_by(rows, [F.col("alert_id")], dedup_order) if dedup_order else rows
 
 
-def write_alerts(alerts: DataFrame, path: str, run_id: str, mode: str = "append") -> None:
-    """Append to the alert table; each run owns its ``run_id`` partitions."""
+def write_alerts(alerts: DataFrame, path: str, run_id: str) -> None:
+    """Write the alerts of a run; a run owns its ``run_id`` partition, and writing it again replaces it."""
     (alerts.withColumn("alert_date", F.to_date("@timestamp")).withColumn("run_id", F.lit(run_id))
-     .write.partitionBy("alert_date", "run_id").mode(mode).parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
 def write_json_document(row: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,15 @@ from wardlog.learning.detector import Detector
 from wardlog.operators import records as rec
 from wardlog.operators import windows as win
 from wardlog.operators.features import preprocess
+from wardlog.session import materialize, scratch_scope
 from wardlog.sources import writers as wr
+from wardlog.sources.readers import path_exists
 
 # Tolerated clock skew and the quiet time between notifications.
 DEFAULT_DELAY = "12 hours"
 QUIET_SECONDS = 45.0
+# A key that was silent for so long starts afresh.
+FORGET_SECONDS = 24 * 3600.0
 
 NOTICE = "key string, timestamp timestamp, detail string"
 
@@ -40,7 +45,7 @@ def enrich_lines(lines: DataFrame, base_year: int) -> DataFrame:
     parsed = lines.select(
         message.alias("message"), tag.alias("log_type"),
         F.when(web, P.access_timestamp(part(P.ACCESS_LINE, 2)))
-        .otherwise(P.syslog_timestamp(message, base_year)).alias("timestamp"),
+        .otherwise(P.line_timestamp(message, base_year)).alias("timestamp"),
         F.when(web, F.coalesce(part(P.ACCESS_LINE, 1), F.lit(""))).otherwise(P.ssh_source_ip(message)).alias("source_ip"),
         F.when(web, "").otherwise(P.ssh_user(message)).alias("user"),
         F.when(web, "").otherwise(P.ssh_status(message)).alias("status"),
@@ -74,51 +79,76 @@ def distinct_alerts(alerts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
 
 
 def score_batch(batch: DataFrame, detector: Detector, model: str, window_minutes: int = 5) -> DataFrame:
-    """One micro-batch through features, model and alert shaping."""
+    """One micro-batch through features, model and alert shaping, each alert once."""
     rows = preprocess(batch, "ssh", window_minutes)
-    return wr.alert_rows(detector.predict(rows), model)
+    return wr.first_alerts(wr.alert_rows(detector.predict(rows), model))
 
 
 def start_scoring(events: DataFrame, detector: Detector, path: str, checkpoint: str, model: str = "unified",
                   run_id: str = "stream", available_now: bool = False) -> StreamingQuery:
-    """Score each micro-batch and write its alerts.
+    """Score each micro-batch and write its alerts; an alert of an earlier batch of the run is not repeated.
 
     A batch owns the partitions ``run_id, batch_id``; when it is retried it
-    replaces them, so no alert is written twice.
+    replaces them, so no alert is written twice. The batch is stored once for the passes of
+    the features, and its intermediate tables go when its alerts are written.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts = score_batch(batch, detector, model)
-        (alerts.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_id", "batch_id").parquet(path))
+        spark = batch.sparkSession
+        with scratch_scope(spark):
+            alerts = materialize(score_batch(materialize(batch, "batch"), detector, model), "batch-alerts")
+            if path_exists(spark, f"{path}/run_id={run_id}"):
+                written = spark.read.parquet(path).where((F.col("run_id") == run_id) & (F.col("batch_id") < batch_id))
+                alerts = alerts.join(written.select("alert_id"), "alert_id", "left_anti").select(*alerts.columns)
+            (alerts.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("run_id", "batch_id").parquet(path))
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def throttle(notices: DataFrame, key: Column, detail: Column, quiet_seconds: float = QUIET_SECONDS) -> DataFrame:
+def admitted(moments: np.ndarray, quiet: float, last: float | None) -> tuple[np.ndarray, float | None]:
+    """Places of the moments (in order) shown when each waits ``quiet`` after the one before."""
+    shown = []
+    at = 0 if last is None else int(np.searchsorted(moments, last + quiet))
+    while at < len(moments):
+        shown.append(at)
+        last = float(moments[at])
+        at = int(np.searchsorted(moments, last + quiet))
+    return np.array(shown, dtype=int), last
+
+
+def throttle(notices: DataFrame, key: Column, detail: Column, quiet_seconds: float = QUIET_SECONDS,
+             forget_seconds: float = FORGET_SECONDS, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Notices of a key at least ``quiet_seconds`` after the last one shown.
 
-    Notices are taken as they arrive; one that comes too soon is dropped. The
-    state is one number per key, and a new run (checkpoint) starts afresh.
+    The notices of a micro-batch are taken in time order (ties by text); one that comes too
+    soon, or is older than the last one shown, is dropped. Notices without a time cannot be spaced and are
+    always shown. The state is one number per key and is forgotten once the watermark is
+    ``forget_seconds`` past it; rows later than ``delay`` still count.
     """
+    wait = int(1000 * max(quiet_seconds, forget_seconds))
+
     def admit(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
-        for batch in batches:
-            shown = []
-            for moment, text in zip(batch["timestamp"], batch["detail"]):
-                now = moment.timestamp()
-                if last is None or now - last >= quiet_seconds:
-                    last = now
-                    shown.append((group[0], moment, text))
-            if shown:
-                yield pd.DataFrame(shown, columns=["key", "timestamp", "detail"])
+        rows = pd.concat(list(batches))[["timestamp", "detail"]]
+        timed = rows[rows["timestamp"].notna()].sort_values(["timestamp", "detail"], kind="stable")
+        moments = timed["timestamp"].to_numpy().astype("datetime64[us]").astype(np.int64) / 1e6
+        places, last = admitted(moments, quiet_seconds, last)
+        shown = pd.concat([timed.iloc[places], rows[rows["timestamp"].isna()]])
+        shown.insert(0, "key", group[0])
         if last is not None:
             state.update((last,))
+            state.setTimeoutTimestamp(max(int(1000 * last) + wait, state.getCurrentWatermarkMs() + 1))
+        yield shown
 
-    shaped = notices.select(key.cast("string").alias("key"), "timestamp", detail.cast("string").alias("detail"))
+    shaped = notices.select(key.cast("string").alias("key"), "timestamp", detail.cast("string").alias("detail")).withWatermark(
+        "timestamp", delay)
     return shaped.groupBy("key").applyInPandasWithState(
-        admit, NOTICE, "last double", "append", GroupStateTimeout.NoTimeout)
+        admit, NOTICE, "last double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def tail(spark: SparkSession, inputs: dict[str, list[str]], base_year: int) -> DataFrame:
