@@ -83,18 +83,20 @@ def rank_cutoffs(df: DataFrame, by: list[str], levels: list[Column], targets: Da
         by = ["_all"]
         keys = keys.withColumn("_all", F.lit(0))
         state = state.withColumn("_all", F.lit(0))
+    # The first level counts all rows once, whatever the number of targets.
+    counted = keys.groupBy(*by, "cut_0").agg(F.count(F.lit(1)).alias("_n"))
+    ordered = Window.partitionBy(*by).orderBy("cut_0").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_n").over(ordered)).join(F.broadcast(state), by)
     for i in range(n):
         fixed = [f"cut_{j}" for j in range(i)]
-        place = [*by, *fixed]
-        # Only the buckets some target points into; the first level takes them all.
-        inside = keys.join(F.broadcast(state.select(*place).distinct()), place, "left_semi")
-        counted = inside.groupBy(*place, f"cut_{i}").agg(F.count(F.lit(1)).alias("_n"))
-        ordered = Window.partitionBy(*place).orderBy(f"cut_{i}").rowsBetween(Window.unboundedPreceding, 0)
-        counted = counted.withColumn("_upto", F.sum("_n").over(ordered))
-        state = (counted.join(F.broadcast(state), place)
-                 .where((F.col("_upto") >= F.col("rank")) & (F.col("_upto") - F.col("_n") < F.col("rank")))
-                 .select(*by, "target", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"),
-                         *fixed, f"cut_{i}"))
+        if i:
+            # Only the bucket a target points into; the small state is used once, so plans stay short.
+            inside = keys.join(F.broadcast(state), [*by, *fixed])
+            counted = inside.groupBy(*by, "target", "rank", *fixed, f"cut_{i}").agg(F.count(F.lit(1)).alias("_n"))
+            ordered = Window.partitionBy(*by, "target", "rank", *fixed).orderBy(f"cut_{i}").rowsBetween(Window.unboundedPreceding, 0)
+            upto = counted.withColumn("_upto", F.sum("_n").over(ordered))
+        state = (upto.where((F.col("_upto") >= F.col("rank")) & (F.col("_upto") - F.col("_n") < F.col("rank")))
+                 .select(*by, "target", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"), *fixed, f"cut_{i}"))
     return state.drop("rank", "_all")
 
 

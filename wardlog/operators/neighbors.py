@@ -105,15 +105,16 @@ def _candidates(chosen, distance, ids, mult, x) -> list[dict]:
             for j, d in zip(chosen, distance)]
 
 
-def nearest_vectors(vectors: DataFrame, k: int = 5, cell_rows: int = 2000, max_cells: int = 4096) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, k: int = 5, cell_rows: int = 2000) -> DataFrame:
     """``vid, x, mult, near`` for distinct vectors ``vid, x, mult``.
 
     ``near`` lists the ``k`` nearest other vectors by distance. ``vectors`` is
-    read several times and should be a stored table.
+    read several times and should be a stored table. Cells hold about ``cell_rows`` vectors whatever
+    the number of vectors; the driver keeps one small record, and draws ``SAMPLES_PER_CELL`` vectors, per cell.
     """
     stored = vectors.select("vid", "x", F.col("mult").cast("bigint").alias("mult"))
     n = stored.count()
-    cells = int(min(max_cells, max(1, -(-n // cell_rows))))
+    cells = max(1, -(-n // cell_rows))
     share = min(1.0, cells * SAMPLES_PER_CELL / max(1, n))
     # About cells * SAMPLES_PER_CELL vectors, however many there are.
     picked = stored.where(F.pmod(F.xxhash64("vid"), F.lit(HASH_STEPS)) < F.lit(int(share * HASH_STEPS) + 1))
