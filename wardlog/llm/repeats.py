@@ -22,6 +22,7 @@ A passage that every document holds is one row per block after step 3, so no tas
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardlog.llm.common import NULL_ID, gram_hashes, ids_column, slice_hashes, text_column, word_slices
-from wardlog.session import materialize
+from wardlog.session import materialize, scratch_path
 
 BLOCK_BYTES = 4 << 20
 BLOCKS_PER_PART = 3  # so many blocks' worth of suffixes meet in one task
@@ -151,8 +152,21 @@ def pack_blocks(docs: DataFrame, spec: Spec, block_bytes: int = BLOCK_BYTES) ->
                                           names=["ids", "others", "sizes", "text", "anchors", "sample"])
 
     packed = docs.mapInArrow(run, BLOCK.replace("block bigint, ", ""))
-    return materialize(packed.withColumn("block", F.monotonically_increasing_id()).select(
-        *[c.split()[0] for c in BLOCK.split(", ")]), "blocks")
+    return bucketed(packed.withColumn("block", F.monotonically_increasing_id()).select(
+        *[c.split()[0] for c in BLOCK.split(", ")]))
+
+
+def bucketed(blocks: DataFrame) -> DataFrame:
+    """Blocks as a table bucketed by their number, in the shared folder.
+
+    What comes back for a block is joined to it twice; the texts then need no shuffle.
+    """
+    spark = blocks.sparkSession
+    path = scratch_path(spark, "blocks")
+    name = f"blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 class Block(NamedTuple):
@@ -184,10 +198,11 @@ def gram_keys(block: Block, spec: Spec, buckets: int) -> np.ndarray:
 
 
 def record_rows(batches):
-    """Rows one at a time: each holds some megabytes."""
+    """Rows one at a time: each holds some megabytes, which go back to the system before the next."""
     for batch in batches:
         for k in range(batch.num_rows):
             yield {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
+            pa.default_memory_pool().release_unused()
 
 
 def shared_grams(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
@@ -412,7 +427,7 @@ def remove_repeats(docs: DataFrame, spec: Spec, deal: Callable, combine: Callabl
     blocks = pack_blocks(keyed, spec, block_bytes)
     parts = max(1, -(-blocks.count() // BLOCKS_PER_PART))
     shared = materialize(shared_grams(blocks, spec, parts), "shared-grams")
-    content = blocks.drop("sample", "others")
+    content = blocks.drop("sample")
     sender = deal(blocks, parts)
 
     def send(batches):
@@ -455,7 +470,7 @@ def remove_repeats(docs: DataFrame, spec: Spec, deal: Callable, combine: Callabl
     sent = with_lists(content, shared, "came", "bucket", "lows").mapInArrow(send, "part bigint, block bigint, blob binary")
     back = sent.groupBy("part").applyInArrow(meet, "block bigint, own boolean, blob binary")
     fields = StructType([*StructType.fromDDL(schema).fields, *keyed.schema.fields[2:]])
-    return with_lists(blocks.drop("sample"), back, "came", "own", "blob").mapInArrow(finish, fields)
+    return with_lists(content, back, "came", "own", "blob").mapInArrow(finish, fields)
 
 
 def null_ids(ids: np.ndarray) -> pa.Array:

@@ -129,8 +129,9 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
                 a, b = edges[part], edges[part + 1]
                 prefix, rest = front_code(found.table[a:b])
                 owner = np.empty(b - a, OWNER)
-                owner["doc"], owner["pos"], owner["member"], owner["alone"] = (
-                    found.doc[a:b], found.pos[a:b], np.arange(a, b), found.alone[a:b])
+                owner["doc"], owner["alone"] = found.doc[a:b], found.alone[a:b]
+                owner["pos"] = 0  # the place within the owner does not matter here
+                owner["member"] = np.diff(np.arange(a, b), prepend=0)  # as differences: all but the first are one
                 columns = b"".join(np.ascontiguousarray(owner[c]).tobytes() for c in OWNER.names)
                 out.append((int(part), shut(np.concatenate([
                     np.array([b - a], "<i8").view(np.uint8), prefix, np.frombuffer(columns, np.uint8), rest]))))
@@ -150,6 +151,7 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
                 wide = OWNER[c].itemsize * n
                 owner[c] = raw[at:at + wide].copy().view(OWNER[c])
                 at += wide
+            owner["member"] = np.cumsum(owner["member"])
             table = front_decode(prefix, raw[at:], size)
             flat = table.tobytes()
             runs.append(([flat[i:i + size] for i in range(0, n * size, size)], prefix.tolist()))
