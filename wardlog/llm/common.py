@@ -97,20 +97,37 @@ def gram_hashes(symbols: np.ndarray, g: int) -> np.ndarray:
         span *= 2
 
 
+def _powers(size: int) -> np.ndarray:
+    return _small_powers()[:size] if size <= 1 << 16 else _computed_powers(size)
+
+
 @cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(MULTIPLIER, -1, 1 << 64)
-    return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, m, np.uint64)]))
-                 for m in (MULTIPLIER, inverse))
+def _small_powers() -> np.ndarray:
+    return _computed_powers(1 << 16)
+
+
+def _computed_powers(size: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, MULTIPLIER, np.uint64)]))
+
+
+HASH_BYTES = 1 << 18  # bytes of slices hashed at once, so that temporary arrays stay in the cache
 
 
 def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each slice ``data[start:end]``; the length takes part."""
-    size = 1 << max(16, (len(data) + 1).bit_length())
-    up, down = _powers(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    return scramble((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * power(7))
+    """Hash of each slice ``data[start:end]``, none of them empty; the length takes part."""
+    wide = ends - starts
+    out = np.empty(len(starts), np.uint64)
+    before = np.concatenate([[0], np.cumsum(wide)])
+    powers = _powers(1 << max(8, int(wide.max(initial=1)).bit_length()))
+    begin = 0
+    while begin < len(starts):
+        stop = max(begin + 1, int(np.searchsorted(before, before[begin] + HASH_BYTES, side="right")) - 1)
+        size, first = wide[begin:stop], before[begin:stop] - before[begin]
+        inside = np.arange(before[stop] - before[begin]) - np.repeat(first, size)
+        terms = (data[np.repeat(starts[begin:stop], size) + inside].astype(np.uint64) + np.uint64(1)) * powers[inside]
+        out[begin:stop] = np.add.reduceat(terms, first)
+        begin = stop
+    return scramble(out + wide.astype(np.uint64) * power(7))
 
 
 IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))

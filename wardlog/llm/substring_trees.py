@@ -153,8 +153,11 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         # Each kept word and a blank behind it; the last blank of a document is left out of its slice.
         steps = wide + 1
         begin = np.cumsum(steps) - steps
-        source = np.repeat(starts - begin, steps) + np.arange(steps.sum())
+        index = np.int32 if len(block.data) < 2 ** 30 else np.int64
+        source = np.repeat((starts - begin).astype(index), steps)
+        source += np.arange(len(source), dtype=index)
         joined = np.concatenate([block.data, np.zeros(1, np.uint8)])[source]
+        del source
         joined[begin + wide] = 32
         ends = np.concatenate([[0], np.cumsum(words - removed)])
         edge = np.concatenate([begin, [len(joined)]])[ends]
