@@ -18,6 +18,9 @@ the corpus, so the work is cut down without losing a window:
 5. Owners return to their blocks, where windows with an earlier owner are marked and cut.
 
 A passage that every document holds is one row per block after step 3, so no task grows with its copies.
+
+What is exchanged is packed by block and part; with ``b`` blocks there are about ``b * b / 3`` packages. For corpora beyond
+some hundred gigabytes pass a larger ``block_bytes`` (64 MB blocks need about 1 GB in a task), so that packages stay large.
 """
 
 from __future__ import annotations
