@@ -15,12 +15,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wardlog.llm.repeats import (
     BLOCK_BYTES, Block, Spec, Suffixes, answers, common_prefix, null_ids, open_block, opened, record_rows, remove_repeats,
     resolve, shut, span_counts, totals)
-from wardlog.session import materialize
 
 LENGTH = 20
 GRAM = 10
@@ -41,7 +39,12 @@ def prefix_codes(words: np.ndarray, codes: int) -> list[np.ndarray]:
 
 
 def heavy_prefixes(blocks: DataFrame, spec: Spec, codes: int) -> np.ndarray:
-    """For each level but the last, which codes hold too many anchors for one group."""
+    """For each level but the last, which codes hold too many anchors for one group.
+
+    A code with more than eight even shares of all anchors has more than eight even shares of those of some
+    task, so a task only reports its own heavy codes, fewer than ``codes / 8`` and mostly a handful. A code
+    that is heavy in one task alone gets a longer prefix too, which does no harm.
+    """
     def count(batches):
         sums = np.zeros((len(LEVELS) - 1, codes), np.int64)
         for row in record_rows(batches):
@@ -50,16 +53,11 @@ def heavy_prefixes(blocks: DataFrame, spec: Spec, codes: int) -> np.ndarray:
             words = block.symbols.values.astype(np.uint32)[head]
             for level, found in enumerate(prefix_codes(words, codes)[:-1]):
                 sums[level] += np.bincount(found, minlength=codes)
-        level, code = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(code, pa.int64()), pa.array(sums[level, code], pa.int64())],
-                                         names=["level", "code", "n"])
-    counted = blocks.drop("sample").mapInArrow(count, "level int, code bigint, n bigint")
-    counted = materialize(counted.groupBy("level", "code").agg(F.sum("n").alias("n")), "prefix-counts")
-    total = counted.where("level = 0").agg(F.sum("n")).first()[0] or 0
-    # A heavy code has more than eight even shares, so there are at most codes / 8 of them on a level.
-    heavy = counted.where(F.col("n") > 8 * total / codes)
+        level, code = np.nonzero(sums > 8 * sums.sum(axis=1, keepdims=True) / codes)
+        yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(code, pa.int64())], names=["level", "code"])
+    heavy = blocks.select("block", "ids", "sizes", "text", "anchors").mapInArrow(count, "level int, code bigint").distinct()
     out = np.zeros((len(LEVELS) - 1, codes), bool)
-    for r in heavy.select("level", "code").toLocalIterator():
+    for r in heavy.toLocalIterator():
         out[r.level, r.code] = True
     return out
 
