@@ -6,8 +6,8 @@
    one or two of its kind, a separator for nothing. The Viterbi path of the lattice under the character
    model, times a channel cost per replacement, is the restored word.
 3. Documents are scored on restored words. Units (words, and their first four and five letters) that
-   tell toxic from clean labelled documents apart are chosen by a likelihood-ratio test and weighed by a
-   logistic regression.
+   tell toxic from clean labelled documents apart are chosen by a likelihood-ratio test and weighed by the
+   logarithm of their rates; a logistic regression on a text's strongest evidence gives the score.
 
 The regression is fitted on a bounded, stratified sample of labelled documents; counting and scoring
 cover whole texts of all documents.
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlog.llm.common import ids_back, ids_column
+from wardlog.session import materialize
 
 SAMPLE_ROWS = 4000  # labelled documents of each class used to fit, at most (in expectation)
 TABLE_BITS = 18  # slots of the character model
@@ -214,8 +215,8 @@ class Model(NamedTuple):
     trigrams: np.ndarray
     bigrams: np.ndarray
     units: dict  # unit -> column
-    weights: np.ndarray
-    bias: float
+    weights: np.ndarray  # log ratio of the unit's rates among toxic and clean documents
+    coefficients: np.ndarray  # of the evidence of a text, and the bias
 
 
 def sampled_labels(labels: DataFrame, rows: int) -> DataFrame:
@@ -228,16 +229,13 @@ def sampled_labels(labels: DataFrame, rows: int) -> DataFrame:
     return training.where(drawn < rate).withColumn("weight", 1 / rate)
 
 
-def choose_units(found: list[Counter], toxic: np.ndarray) -> dict:
-    """Columns of the units whose presence depends on the class."""
-    seen = [Counter(), Counter()]
-    for counts, y in zip(found, toxic):
-        seen[int(y)].update(counts.keys())
-    totals = np.array([max(1, (toxic == 0).sum()), max(1, (toxic == 1).sum())], float)
-    names = [u for u in seen[1] if seen[1][u] >= 3]
+def choose_units(names: list[str], have: np.ndarray, totals: np.ndarray) -> dict:
+    """Columns of the units whose presence depends on the class.
+
+    ``have`` counts the clean and the toxic documents with each unit, ``totals`` all of them.
+    """
     if not names:
         return {}
-    have = np.array([[seen[0][u], seen[1][u]] for u in names], float)
     rate = have.sum(axis=1) / totals.sum()
     expected = np.stack([rate * totals[0], rate * totals[1]], axis=1)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -245,27 +243,48 @@ def choose_units(found: list[Counter], toxic: np.ndarray) -> dict:
                          + np.where(totals - have > 0, (totals - have) * np.log((totals - have) / (totals - expected)), 0).sum(axis=1))
     bound = 2 * math.log(max(2.0, len(names) / CHANCE_UNITS))
     telling = np.flatnonzero((statistic > bound) & (have[:, 1] / totals[1] > have[:, 0] / totals[0]))
-    telling = telling[np.argsort(-statistic[telling], kind="stable")][:MAX_UNITS]
+    telling = telling[np.lexsort((np.array(names)[telling], -statistic[telling]))][:MAX_UNITS]
     return {names[i]: k for k, i in enumerate(telling)}
 
 
-def regression(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, toxic: np.ndarray, weight: np.ndarray,
-               width: int, steps: int = 300, ridge: float = 0.01) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression on sparse rows, by accelerated gradient steps."""
-    w, b = np.zeros(width), 0.0
-    base = weight.sum()
-    heat = np.bincount(rows, values ** 2, minlength=len(toxic)).max(initial=0) + 1
-    rate = 4.0 * base / (heat * base + 1)
-    mw, mb = w.copy(), b
-    for step in range(steps):
-        margin = np.bincount(rows, values * mw[columns], minlength=len(toxic)) + mb
-        error = weight * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - toxic) / base
-        new_w = mw - rate * (np.bincount(columns, values * error[rows], minlength=width) + ridge / len(toxic) * mw)
-        new_b = mb - rate * error.sum()
-        push = step / (step + 3)
-        mw, mb = new_w + push * (new_w - w), new_b + push * (new_b - b)
-        w, b = new_w, new_b
-    return w, b
+def unit_counts(sample: DataFrame, counts) -> DataFrame:
+    """``unit, clean, toxic``: documents of the sample that hold a unit, for units of three toxic ones or more."""
+    def run(batches):
+        reader = Reader(CharacterModel(*counts.value))
+        seen: dict[str, list[int]] = {}
+        for batch in batches:
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                for unit in reader(text):
+                    seen.setdefault(unit, [0, 0])[y] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()),
+                                          pa.array([v[1] for v in seen.values()], pa.int64())], names=["unit", "clean", "toxic"])
+    counted = sample.mapInArrow(run, "unit string, clean bigint, toxic bigint").groupBy("unit").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    return counted.where("toxic >= 3")
+
+
+def evidence(found: dict[int, int], weights: np.ndarray) -> tuple[float, float, float]:
+    """Strongest evidence of a text and the means of its three and eight strongest.
+
+    Each distinct word counts once for each of its units. Only the strongest evidence counts, so a long text does
+    not become toxic by adding up weak hints.
+    """
+    strongest = sorted((w for u, n in found.items() for w in [float(weights[u])] * min(n, 8)), reverse=True)[:8]
+    strongest += [0.0] * (8 - len(strongest))
+    return strongest[0], sum(strongest[:3]) / 3, sum(strongest) / 8
+
+
+def regression(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray, steps: int = 30, ridge: float = 1.0) -> np.ndarray:
+    """Weighted logistic regression by damped Newton steps; the last coefficient is the bias."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(x.shape[1])
+    pull = ridge * np.eye(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - toxic)) + pull @ w
+        step = np.linalg.solve(x.T @ (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]) + pull, slope)
+        w -= step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
+    return w
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -274,31 +293,36 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     chosen = sampled_labels(labels, sample_rows).collect()  # bounded: the sample
     spark = docs.sparkSession
     if not chosen:
-        return Model(trigrams, bigrams, {}, np.zeros(0), -3.0)
+        return Model(trigrams, bigrams, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
     wanted = spark.createDataFrame([(r.doc_id, r.toxic, float(r.weight)) for r in chosen], "doc_id bigint, toxic int, weight double")
-    texts = docs.join(F.broadcast(wanted), "doc_id").select("toxic", "weight", "text")
+    sample = materialize(docs.join(F.broadcast(wanted), "doc_id").select("toxic", "weight", "text"), "toxicity-sample")
     counts = spark.sparkContext.broadcast((trigrams, bigrams))
+    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = np.array([max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))], float)
+    found = unit_counts(sample, counts).toArrow()
+    have = np.stack([found["clean"].to_numpy(), found["toxic"].to_numpy()], axis=1).astype(float)
+    listed = found["unit"].to_pylist()
+    names = choose_units(listed, have, totals)
+    chosen_rows = have[[i for i, u in enumerate(listed) if u in names]]
+    order = np.argsort([names[u] for u in listed if u in names])
+    shares = (chosen_rows[order] + 0.5) / (totals + 1) if names else np.ones((0, 2))
+    weights = np.log(shares[:, 1] / shares[:, 0])
+    del found, listed, have
 
     def run(batches):
-        reader = Reader(CharacterModel(*counts.value))
+        reader = Reader(CharacterModel(*counts.value), names)
         for batch in batches:
-            found = [reader(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(["\n".join(f"{u}\t{n}" for u, n in c.items()) for c in found])],
-                                             names=["toxic", "weight", "units"])
-    rows = texts.mapInArrow(run, "toxic int, weight double, units string").toLocalIterator()
-    toxic, weight, found = [], [], []
-    for r in rows:
-        toxic.append(r.toxic)
-        weight.append(r.weight)
-        found.append(Counter({u: int(n) for u, n in (x.split("\t") for x in r.units.split("\n") if x)}))
-    if not found:
-        return Model(trigrams, bigrams, {}, np.zeros(0), -3.0)
-    toxic, weight = np.array(toxic, float), np.array(weight, float)
-    names = choose_units(found, toxic)
-    cells = [(i, names[u], math.log1p(n)) for i, counts_ in enumerate(found) for u, n in counts_.items() if u in names]
-    r, c, v = (np.array(x) for x in zip(*cells)) if cells else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    w, b = regression(r.astype(int), c.astype(int), v.astype(float), toxic, weight, len(names))
-    return Model(trigrams, bigrams, names, w, b)
+            read = [reader(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([list(c.keys()) for c in read], pa.list_(pa.int32())),
+                pa.array([list(c.values()) for c in read], pa.list_(pa.int32()))], names=["toxic", "weight", "units", "times"])
+    # Bounded: the sample, and of its texts the chosen units only.
+    rows = sample.mapInArrow(run, "toxic int, weight double, units array<int>, times array<int>").toArrow()
+    if not rows.num_rows:
+        return Model(trigrams, bigrams, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
+    toxic, weight = rows["toxic"].to_numpy().astype(float), rows["weight"].to_numpy()
+    x = np.array([evidence(dict(zip(u, n)), weights) for u, n in zip(rows["units"].to_pylist(), rows["times"].to_pylist())])
+    return Model(trigrams, bigrams, names, weights, regression(x, toxic, weight))
 
 
 class Rater:
@@ -309,7 +333,9 @@ class Rater:
         self.read = Reader(CharacterModel(model.trigrams, model.bigrams), model.units)
 
     def __call__(self, text: str | None) -> float:
-        margin = self.model.bias + sum(self.model.weights[u] * math.log1p(n) for u, n in self.read(text).items())
+        a, b, c, bias = self.model.coefficients
+        x, y, z = evidence(self.read(text), self.model.weights)
+        margin = a * x + b * y + c * z + bias
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, margin))))
 
 
