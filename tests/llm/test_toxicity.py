@@ -49,6 +49,26 @@ def test_spaced_letters_are_joined(model):
     assert toxicity.Reader(model)("you i d i o t now")["idiot"] == 1
 
 
+@pytest.fixture(scope="module")
+def prose(spark):
+    text = "you are such a moron and the idiot i am said that a moron is not an idiot so you said stupid words to the committee at this address "
+    docs = spark.createDataFrame([(i, text * 3) for i in range(50)], "doc_id bigint, text string")
+    return toxicity.CharacterModel(*toxicity.character_counts(docs))
+
+
+@pytest.mark.parametrize("text, words", [
+    ("such a m o r o n", {"such", "moron"}), ("y o u i d i o t", {"you", "idiot"}), ("i d i o t i am", {"idiot"}), ("m\no\nr\no\nn", {"moron"}),
+    ("a\u2003m  o\r\nr\to n", {"moron"}), ("y o u a r e s u c h a m 0 r 0 n", {"you", "are", "such", "moron"}), ("i . d . i . o . t", {"idiot"}),
+    ("iiddiioott", {"idiot"}), ("the committee address", {"the", "committee", "address"}), ("1 2 3 4", set()),
+])
+def test_word_borders_in_spaced_and_doubled_letters(prose, text, words):
+    assert {u for u in toxicity.Reader(prose)(text) if ":" not in u} == words
+
+
+def test_long_spaced_run_is_decoded_in_linear_time(prose):
+    assert toxicity.Reader(prose)("y o u i d i o t " * 20_000)["idiot"] == 1
+
+
 @pytest.mark.parametrize("frame", [awkward, empty])
 def test_awkward_input(spark, frame):
     docs = frame(spark)

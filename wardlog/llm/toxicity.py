@@ -3,8 +3,9 @@
 1. A character model (trigrams of lower-case letters) is counted over all documents.
 2. Words that look disguised - letters mixed with digits or signs, letters repeated, single letters set
    apart - become lattices: every place may stand for the letters it resembles, a repeated letter for
-   one or two of its kind, a separator for nothing. The Viterbi path of the lattice under the character
-   model, times a channel cost per replacement, is the restored word.
+   one or two of its kind, a separator for nothing. A run of single letters is one lattice in which every
+   blank stands for nothing or for a word border. The Viterbi path of the lattice under the character
+   model, times a channel cost per replacement, is the restored text.
 3. Documents are scored on restored words. Units (words, and their first four and five letters) that
    tell toxic from clean labelled documents apart are chosen by a likelihood-ratio test and weighed by the
    logarithm of their rates; a logistic regression on a text's strongest evidence gives the score.
@@ -43,9 +44,11 @@ RESEMBLES = {
 SEPARATORS = "._-*~'`^,"
 EDGE = re.compile(r"^[^\w$@€£!|+(]+|[^\w$@€£]+$")  # an exclamation mark can open a word in disguise, hardly close one
 SIGN_RUN = re.compile(r"([$@€£!|+(])\1{2,}$|^([$@€£!|+(])\2{2,}")
-LETTER_RUN = re.compile(r"([^\W\d_])\1{2,}")
+LETTER_RUN = re.compile(r"([^\W\d_])\1{2,}|([^\W\d_])\2.*([^\W\d_])\3")  # one letter three times, or several doubled letters
+LETTER = re.compile(r"[^\W\d_]")
 MIXED = re.compile(r"[^\W\d_][\d@$!|+€(£¡]|[\d@$!|+€(£¡][^\W\d_]|[^\W\d_][._\-*~'`^,]+[^\W\d_]")
-SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€])(?:[ \t][._\-]?[ \t]?(?:[^\W_]|[@$!|+€])){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€])(?:\s+(?:[._\-]\s*)?(?:[^\W_]|[@$!|+€])){2,}(?!\S)")
+SPACE = re.compile(r"\s+(?:[._\-]\s*)?")  # what is between two letters of a spaced run
 
 
 def is_training(doc_id: Column) -> Column:
@@ -135,6 +138,8 @@ def lattice(word: str) -> list[tuple[tuple[str, float], ...]]:
                 places.append((("", CHANNEL_COST), *[(x, 2 * CHANNEL_COST) for x in "aeioustcn"]))
             else:
                 places.append((("", CHANNEL_COST),))
+        elif c == " ":  # only in spaced runs, where letters and words are set apart alike
+            places.append((("", 0.0), (" ", 0.0)))
         else:
             places.append(((" ", CHANNEL_COST),))
     return places
@@ -142,11 +147,12 @@ def lattice(word: str) -> list[tuple[tuple[str, float], ...]]:
 
 def viterbi(word: str, model: CharacterModel) -> str:
     """Most likely restored text of a disguised word."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # Texts are chains of pieces, so that long runs are not copied at every place.
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     score = model.log_probability
     for choices in lattice(word):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (total, text) in states.items():
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (total, chain) in states.items():
             for piece, cost in choices:
                 x, y, value = a, b, total - cost
                 for ch in piece:
@@ -155,14 +161,20 @@ def viterbi(word: str, model: CharacterModel) -> str:
                     x, y = y, code
                 held = after.get((x, y))
                 if held is None or value > held[0]:
-                    after[x, y] = (value, text + piece)
+                    after[x, y] = (value, (chain, piece))
         states = after
-    best = max(states.items(), key=lambda s: s[1][0] + score(*s[0], 0))
-    return best[1][1]
+    chain = max(states.items(), key=lambda s: s[1][0] + score(*s[0], 0))[1][1]
+    pieces = []
+    while chain:
+        chain, piece = chain
+        pieces.append(piece)
+    return "".join(reversed(pieces))
 
 
 def restore(token: str, model: CharacterModel) -> str:
-    """Bare lower-case word, decoded if it looks disguised."""
+    """Bare lower-case word, decoded if it looks disguised; the words of a spaced run."""
+    if " " in token:
+        return viterbi(token, model)
     word = EDGE.sub("", SIGN_RUN.sub("", token))
     if word.isalpha() and not LETTER_RUN.search(word):
         return word
@@ -171,6 +183,18 @@ def restore(token: str, model: CharacterModel) -> str:
     return re.sub(r"[\W\d_]+", "", word)
 
 
+def tokens_of(text: str) -> set[str]:
+    """Distinct words of a lower-case text, and its spaced runs with single blanks.
+
+    A run without any letter is a row of numbers and holds no word.
+    """
+    tokens = set(text.split())
+    for spread in SPACED.finditer(text):
+        if LETTER.search(spread.group()):
+            tokens.add(SPACE.sub(" ", spread.group()))
+    return tokens
+
+
 def units(word: str) -> tuple[str, ...]:
     if len(word) < 3:
         return ()
@@ -184,7 +208,7 @@ class Reader:
         self.model, self.keep, self.known = model, keep, {}
 
     def of(self, token: str) -> tuple:
-        found = tuple(u for w in restore(token, self.model).split() for u in units(w))
+        found = tuple(u for w in dict.fromkeys(restore(token, self.model).split()) for u in units(w))
         if self.keep is not None:
             found = tuple(self.keep[u] for u in found if u in self.keep)
         if len(token) <= 64:
@@ -197,12 +221,8 @@ class Reader:
         """How many distinct words of a text hold each unit."""
         if not text:
             return Counter()
-        text = text.lower()
-        tokens = set(text.split())
-        for spread in SPACED.finditer(text):
-            tokens.add("".join(ch for ch in spread.group() if not ch.isspace()))
         known, out = self.known, Counter()
-        for token in tokens:
+        for token in tokens_of(text.lower()):
             found = known.get(token)
             if found is None:
                 found = self.of(token)
