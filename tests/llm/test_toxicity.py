@@ -69,6 +69,25 @@ def test_long_spaced_run_is_decoded_in_linear_time(prose):
     assert toxicity.Reader(prose)("y o u i d i o t " * 20_000)["idiot"] == 1
 
 
+def test_counts_are_exact_whatever_the_alphabet(spark):
+    # More distinct trigrams of another script than a table of 2 ** 18 slots has.
+    other = [(i, " ".join(chr(0x4E00 + (i * 131 + k) % 20_000) + chr(0x4E00 + (i * 7 + k * k) % 20_000) * (k % 2) + chr(0x4E00 + (k * 17 + i) % 20_000)
+                          for k in range(400))) for i in range(500)]
+    docs = spark.createDataFrame([*other, *[(-i, "the idiot said 1d10t i d i o t stuuupid words") for i in range(1, 51)]], "doc_id bigint, text string")
+    whole = toxicity.CharacterModel(*toxicity.character_counts(docs))
+    asked = toxicity.CharacterModel(*toxicity.character_counts(docs, of_lattices=True))
+    assert len(whole.keys) > 2 ** 18 and len(asked.keys) < 200
+    for gram, n in (("idi", 50), ("iot", 50), ("dio", 50), ("qzx", 0), ("zqj", 0), ("iod", 0), ("ido", 0)):
+        key = toxicity.gram_keys(*map(ord, gram))
+        assert whole.count(key) == n and asked.count(key) in (0, n)
+    for token in ("1d10t", "i d i o t", "stuuupid"):
+        assert toxicity.restore(token, whole) == toxicity.restore(token, asked)
+        keys = set()
+        toxicity.lattice_keys(toxicity.hidden(token), keys)
+        assert all(whole.count(k) == asked.count(k) for k in keys)
+    assert toxicity.restore("1d10t", asked) == toxicity.restore("i d i o t", asked) == "idiot"
+
+
 @pytest.mark.parametrize("frame", [awkward, empty])
 def test_awkward_input(spark, frame):
     docs = frame(spark)

@@ -1,6 +1,7 @@
 """Toxicity with noisy-channel deobfuscation.
 
-1. A character model (trigrams of lower-case letters) is counted over all documents.
+1. A character model (trigrams of lower-case letters) is counted over all documents, exactly: counts are an
+   aggregation in Spark that grows with the input, and of it only the grams met in lattices are handed out.
 2. Words that look disguised - letters mixed with digits or signs, letters repeated, single letters set
    apart - become lattices: every place may stand for the letters it resembles, a repeated letter for
    one or two of its kind, a separator for nothing. A run of single letters is one lattice in which every
@@ -30,7 +31,9 @@ from wardlog.llm.common import ids_back, ids_column
 from wardlog.session import materialize
 
 SAMPLE_ROWS = 4000  # labelled documents of each class used to fit, at most (in expectation)
-TABLE_BITS = 18  # slots of the character model
+CODE_BITS = 21  # of a code point; three of them make one key
+PAIR = (1 << CODE_BITS) - 1  # no code point: stands for any letter after two others
+PENDING = 1 << 20  # keys a task holds before it sends their counts on
 CHANCE_UNITS = 20  # units that may pass the likelihood-ratio test by chance
 MAX_UNITS = 5000
 CACHE_WORDS = 300_000
@@ -60,56 +63,102 @@ def letter_codes(text: str) -> np.ndarray:
     """Code points of the letters of a lower-case text; 0 for anything else."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     plain = ((codes >= 97) & (codes <= 122)) | ((codes >= 0xDF) & (codes != 0xF7) & (codes < 0x2000)) | (codes >= 0x3000)
-    return np.where(plain, codes, 0).astype(np.uint64)
+    return np.where(plain, codes, 0).astype(np.int64)
 
 
-def trigram_slots(a, b, c):
-    mixed = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (c * np.uint64(0x165667B19E3779F9))
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def gram_keys(a, b, c):
+    """One number for three codes; no two triples share one."""
+    return (a << CODE_BITS | b) << CODE_BITS | c
 
 
 class CharacterModel:
-    """Log probabilities of a letter after two others, with a floor for what was never seen."""
+    """Log probabilities of a letter after two others, with a floor for what was never seen.
 
-    def __init__(self, trigrams: np.ndarray, bigrams: np.ndarray):
-        self.trigrams, self.bigrams = trigrams, bigrams
+    ``keys`` are sorted and hold trigrams, and bigrams closed by ``PAIR``.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts
         self.known: dict[tuple[int, int, int], float] = {}
 
+    def count(self, key: int) -> int:
+        at = int(np.searchsorted(self.keys, np.int64(key)))
+        return int(self.counts[at]) if at < len(self.keys) and self.keys[at] == key else 0
+
     def log_probability(self, a: int, b: int, c: int) -> float:
         key = (a, b, c)
         value = self.known.get(key)
         if value is None:
-            x, y, z = (np.array([v], np.uint64) for v in key)
-            joint = int(self.trigrams[trigram_slots(x, y, z)][0])
-            before = int(self.bigrams[trigram_slots(x, y, np.array([2 ** 32], np.uint64))][0])
+            joint, before = self.count(gram_keys(a, b, c)), self.count(gram_keys(a, b, PAIR))
             value = self.known[key] = math.log((joint + 0.1) / (before + 10.0))
         return value
 
 
-def character_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram and bigram counts over all texts, by slot."""
-    slots = 1 << TABLE_BITS
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+
+
+def text_grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the trigrams of a text and of the bigrams that begin them."""
+    a, b, c = codes[:-2], codes[1:-1], codes[2:]
+    word = (b > 0) | (c > 0)
+    keys, counts = np.unique(gram_keys(a[word], b[word], c[word]), return_counts=True)
+    pairs, pair_counts = summed(keys | PAIR, counts)
+    return np.concatenate([keys, pairs]), np.concatenate([counts, pair_counts])
+
 
+def character_counts(docs: DataFrame, of_lattices: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of trigrams and bigrams and their counts over all texts.
+
+    With ``of_lattices`` only those that decoding these texts asks for are returned; the others never leave the
+    aggregation. Without, all are, which suits small tables only.
+    """
     def run(batches):
-        sums = np.zeros((2, slots), np.int64)
+        names = ["key", "n", "asked"]
+
+        def rows(keys, counts, asked):
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64()),
+                                               pa.array(np.full(len(keys), asked))], names=names)
+        held, size, seen, asked = [], 0, set(), set()
         for batch in batches:
-            codes = letter_codes("\n\n".join(t.lower() for t in batch.column(0).to_pylist() if t))
-            if len(codes) < 3:
+            lower = [t.lower() for t in batch.column(0).to_pylist() if t]
+            codes = letter_codes("\n\n".join(lower))
+            if len(codes) > 2:
+                held.append(text_grams(codes))
+                size += len(held[-1][0])
+            if size > PENDING:
+                held = [summed(*map(np.concatenate, zip(*held)))]
+                size = len(held[0][0])
+                if size > PENDING // 2:
+                    yield rows(*held[0], False)
+                    held, size = [], 0
+            if not of_lattices:
                 continue
-            a, b, c = codes[:-2], codes[1:-1], codes[2:]
-            word = (b > 0) | (c > 0)
-            a, b, c = a[word], b[word], c[word]
-            sums[0] += np.bincount(trigram_slots(a, b, c), minlength=slots)
-            sums[1] += np.bincount(trigram_slots(a, b, np.full(len(a), 2 ** 32, np.uint64)), minlength=slots)
-        kind, slot = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(slot, pa.int32()), pa.array(sums[kind, slot], pa.int64())],
-                                         names=["kind", "slot", "n"])
-    counted = docs.select("text").mapInArrow(run, "kind int, slot int, n bigint").groupBy("kind", "slot").agg(F.sum("n").alias("n"))
-    out = np.zeros((2, slots), np.int64)  # at most two tables of slots reach the driver
-    found = counted.toArrow()
-    out[found["kind"].to_numpy(), found["slot"].to_numpy()] = found["n"].to_numpy()
-    return out[0], out[1]
+            for text in lower:
+                fresh = tokens_of(text) - seen
+                for token in fresh:
+                    word = hidden(token)
+                    if word is not None:
+                        lattice_keys(word, asked)
+                seen |= fresh
+                if len(seen) > CACHE_WORDS:
+                    seen.clear()
+                if len(asked) > PENDING:
+                    yield rows(np.fromiter(asked, np.int64, len(asked)), np.zeros(len(asked), np.int64), True)
+                    asked.clear()
+        if held:
+            yield rows(*summed(*map(np.concatenate, zip(*held))), False)
+        yield rows(np.fromiter(asked, np.int64, len(asked)), np.zeros(len(asked), np.int64), True)
+    counted = docs.select("text").mapInArrow(run, "key bigint, n bigint, asked boolean").groupBy("key").agg(
+        F.sum("n").alias("n"), F.max("asked").alias("asked")).where("n > 0")
+    if of_lattices:
+        counted = counted.where("asked")
+    found = counted.select("key", "n").toArrow()
+    return summed(found["key"].to_numpy(), found["n"].to_numpy())
 
 
 def lattice(word: str) -> list[tuple[tuple[str, float], ...]]:
@@ -145,6 +194,26 @@ def lattice(word: str) -> list[tuple[tuple[str, float], ...]]:
     return places
 
 
+def lattice_keys(word: str, keys: set[int]) -> None:
+    """Add the keys of all grams that decoding ``word`` asks for."""
+    states = {(0, 0)}
+    for choices in lattice(word):
+        after = set()
+        for a, b in states:
+            for piece, _ in choices:
+                x, y = a, b
+                for ch in piece:
+                    code = ord(ch) if ch != " " else 0
+                    keys.add(gram_keys(x, y, code))
+                    keys.add(gram_keys(x, y, PAIR))
+                    x, y = y, code
+                after.add((x, y))
+        states = after
+    for a, b in states:
+        keys.add(gram_keys(a, b, 0))
+        keys.add(gram_keys(a, b, PAIR))
+
+
 def viterbi(word: str, model: CharacterModel) -> str:
     """Most likely restored text of a disguised word."""
     # Texts are chains of pieces, so that long runs are not copied at every place.
@@ -171,16 +240,25 @@ def viterbi(word: str, model: CharacterModel) -> str:
     return "".join(reversed(pieces))
 
 
+def bare(token: str) -> str:
+    return EDGE.sub("", SIGN_RUN.sub("", token))
+
+
+def hidden(token: str) -> str | None:
+    """The bare word of a lower-case token, or the spaced run, if it looks disguised."""
+    if " " in token:
+        return token
+    word = bare(token)
+    return word if LETTER_RUN.search(word) or not word.isalpha() and MIXED.search(word) else None
+
+
 def restore(token: str, model: CharacterModel) -> str:
     """Bare lower-case word, decoded if it looks disguised; the words of a spaced run."""
-    if " " in token:
-        return viterbi(token, model)
-    word = EDGE.sub("", SIGN_RUN.sub("", token))
-    if word.isalpha() and not LETTER_RUN.search(word):
-        return word
-    if MIXED.search(word) or LETTER_RUN.search(word):
+    word = hidden(token)
+    if word is not None:
         return viterbi(word, model)
-    return re.sub(r"[\W\d_]+", "", word)
+    word = bare(token)
+    return word if word.isalpha() else re.sub(r"[\W\d_]+", "", word)
 
 
 def tokens_of(text: str) -> set[str]:
@@ -232,8 +310,8 @@ class Reader:
 
 
 class Model(NamedTuple):
-    trigrams: np.ndarray
-    bigrams: np.ndarray
+    keys: np.ndarray  # of the character model
+    counts: np.ndarray
     units: dict  # unit -> column
     weights: np.ndarray  # log ratio of the unit's rates among toxic and clean documents
     coefficients: np.ndarray  # of the evidence of a text, and the bias
@@ -308,15 +386,18 @@ def regression(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray, steps: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from training labels of given documents. Without any, every score is the same low one."""
-    trigrams, bigrams = character_counts(docs)
+    """Learn from training labels of given documents, to score these documents.
+
+    The character model holds what their own lattices ask for. Without labels, every score is the same low one.
+    """
+    keys, gram_counts = character_counts(docs, of_lattices=True)
     chosen = sampled_labels(labels, sample_rows).collect()  # bounded: the sample
     spark = docs.sparkSession
     if not chosen:
-        return Model(trigrams, bigrams, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
+        return Model(keys, gram_counts, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
     wanted = spark.createDataFrame([(r.doc_id, r.toxic, float(r.weight)) for r in chosen], "doc_id bigint, toxic int, weight double")
     sample = materialize(docs.join(F.broadcast(wanted), "doc_id").select("toxic", "weight", "text"), "toxicity-sample")
-    counts = spark.sparkContext.broadcast((trigrams, bigrams))
+    counts = spark.sparkContext.broadcast((keys, gram_counts))
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     totals = np.array([max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))], float)
     found = unit_counts(sample, counts).toArrow()
@@ -339,10 +420,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     # Bounded: the sample, and of its texts the chosen units only.
     rows = sample.mapInArrow(run, "toxic int, weight double, units array<int>, times array<int>").toArrow()
     if not rows.num_rows:
-        return Model(trigrams, bigrams, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
+        return Model(keys, gram_counts, {}, np.zeros(0), np.array([0.0, 0.0, 0.0, -3.0]))
     toxic, weight = rows["toxic"].to_numpy().astype(float), rows["weight"].to_numpy()
     x = np.array([evidence(dict(zip(u, n)), weights) for u, n in zip(rows["units"].to_pylist(), rows["times"].to_pylist())])
-    return Model(trigrams, bigrams, names, weights, regression(x, toxic, weight))
+    return Model(keys, gram_counts, names, weights, regression(x, toxic, weight))
 
 
 class Rater:
@@ -350,7 +431,7 @@ class Rater:
 
     def __init__(self, model: Model):
         self.model = model
-        self.read = Reader(CharacterModel(model.trigrams, model.bigrams), model.units)
+        self.read = Reader(CharacterModel(model.keys, model.counts), model.units)
 
     def __call__(self, text: str | None) -> float:
         a, b, c, bias = self.model.coefficients
