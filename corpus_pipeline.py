@@ -43,7 +43,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 1,024 tokens."""
     import public_tokenizers
     prepare(spark)
-    return packing.pack(docs, public_tokenizers.path(f"{packing.VOCABULARY}.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(docs, public_tokenizers.path(f"{packing.VOCABULARY}.tiktoken"), public_tokenizers.PATTERN,
+                        tokenizer_path=public_tokenizers.path(f"{packing.VOCABULARY}.json"))
 
 
 STAGES = [("toxicity", reject_toxic), ("simhash_near_dedup", drop_near_copies), ("suffix_dedup", cut_repeats),

@@ -133,6 +133,22 @@ def test_word_ids_equal_the_whole_encoding():
         assert ids_of(text) == b"".join(i.to_bytes(4, "little") for i in encode(text)), text
 
 
+def test_added_tokens_in_running_text_keep_their_id(spark, tmp_path):
+    import corpus_pipeline
+    texts = ["foo <|endoftext|> bar", "<|endoftext|><|endoftext|>a", "a\n<|endoftext|>\n b", "  <|endoftext|>  ", "<|endoftext| >", "plain",
+             "long words " * 900 + "<|endoftext|>" + " more words" * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for packed in (queries.QUERIES["op6_packing"](spark, str(tmp_path)), dict(corpus_pipeline.STAGES)["packing"](spark, docs, str(tmp_path))):
+        got = packed.collect()
+        for doc, text in enumerate(texts):
+            ids = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+            assert (50256 in ids) == ("<|endoftext|>" in text)
+            want = {(at, zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[at:at + 1024])), len(ids)) for at in range(0, len(ids), 1024)}
+            assert {(r.start, r.ids_crc32, r.doc_tokens) for r in got if r.doc_id == doc} == want, text
+
+
 def test_shards_are_even_and_keep_groups(spark):
     got = queries.QUERIES["op10_sharding"](spark, SF).collect()
     text = documents()

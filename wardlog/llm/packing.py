@@ -43,6 +43,18 @@ def encoder(tiktoken_path: str, pattern: str) -> Callable[[str], list[int]]:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+@cache
+def tokenizer(path: str):
+    """The tokenizer of a JSON file, added tokens and all."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def added_tokens(path: str) -> tuple[str, ...]:
+    """Texts that the tokenizer of a JSON file takes as one token wherever they occur."""
+    return tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
+
+
 SPACE_RUN = re.compile(r"\s\s")
 
 
@@ -51,11 +63,13 @@ class WordIds:
 
     The split pattern never joins a word with the blank that follows it, so where blanks are
     single the ids of a text are those of its pieces between blanks, each with its leading
-    blank. Texts with longer runs of white space are encoded whole.
+    blank. Texts with longer runs of white space are encoded whole, and so are texts that hold
+    an added token, by ``encode_added``.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]]):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode: Callable[[str], list[int]], added: tuple[str, ...] = (),
+                 encode_added: Callable[[str], list[int]] | None = None):
+        self.encode, self.added, self.encode_added, self.known = encode, added, encode_added, {}
 
     def of(self, piece: str) -> bytes:
         ids = np.array(self.encode(piece), "<u4").tobytes()
@@ -66,6 +80,9 @@ class WordIds:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        for token in self.added:
+            if token in text:
+                return np.array(self.encode_added(text), "<u4").tobytes()
         if SPACE_RUN.search(text):
             return np.array(self.encode(text), "<u4").tobytes()
         pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
@@ -78,10 +95,17 @@ class WordIds:
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-def pieces(docs: DataFrame, tiktoken_path: str, pattern: str, window: int = WINDOW) -> DataFrame:
-    """Full windows and the rest of every document, ids closed by ``END_ID``."""
+def pieces(docs: DataFrame, tiktoken_path: str, pattern: str, window: int = WINDOW,
+           tokenizer_path: str | None = None) -> DataFrame:
+    """Full windows and the rest of every document, ids closed by ``END_ID``.
+
+    The ranks know no added tokens; those of the JSON file ``tokenizer_path`` are honoured where it is given.
+    """
+    added = added_tokens(tokenizer_path) if tokenizer_path else ()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(encoder(tiktoken_path, pattern))
+        ids_of = WordIds(encoder(tiktoken_path, pattern), added,
+                         lambda text: tokenizer(tokenizer_path).encode(text, add_special_tokens=False).ids)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
@@ -143,13 +167,13 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> tuple[list[int], list[
 
 
 def pack(docs: DataFrame, tiktoken_path: str, pattern: str, window: int = WINDOW,
-         group_pieces: int = GROUP_PIECES) -> DataFrame:
+         group_pieces: int = GROUP_PIECES, tokenizer_path: str | None = None) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``.
 
     Null and empty texts are one end id. Repeated and missing document ids are packed like any
     other row. Sequence ids are unique, not dense. An empty table gives an empty result.
     """
-    cut = materialize(pieces(docs, tiktoken_path, pattern, window), "pieces")
+    cut = materialize(pieces(docs, tiktoken_path, pattern, window, tokenizer_path), "pieces")
     full, rest = cut.where(F.col("length") == window), cut.where(F.col("length") < window)
     groups = max(1, -(-rest.count() // group_pieces))
     keys = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens")

@@ -59,7 +59,8 @@ def repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = public_tokenizers.path(f"{packing.VOCABULARY}.tiktoken")
-    return packing.pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN,
+                        tokenizer_path=public_tokenizers.path(f"{packing.VOCABULARY}.json"))
 
 
 @query("op7_simhash_near_dedup")
