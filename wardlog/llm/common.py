@@ -47,6 +47,12 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
 
 
+def finite(vector: Column) -> Column:
+    """True for vectors that are not null and hold no null or non-finite component."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    return vector.isNotNull() & ~F.coalesce(bad, F.lit(True))
+
+
 def text_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):

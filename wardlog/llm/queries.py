@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlog.llm import decontaminate, embeddings, licenses, packing, quality, sharding, simhash, substring_trees, suffix_runs, toxicity
+from wardlog.llm import decontaminate, embeddings, licenses, packing, quality, sharding, simhash, spellings, substring_trees, suffix_runs, topk, toxicity, whitening
 from wardlog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,28 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sharding")
 def shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings")).drop("copies", "deviation_exact")
+
+
+@query("op13_exact_topk", """
+with usable as (
+  select vec_id, list_transform(embedding, c -> floor(256 * c::double)) as x from embeddings
+  where embedding is not null and not list_bool_or(list_transform(embedding, c -> c is null or not isfinite(c)))),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score
+  from usable q join usable c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
