@@ -96,8 +96,8 @@ def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op13_exact_topk", """
 with usable as (
-  select vec_id, list_transform(embedding, c -> floor(256 * c::double)) as x from embeddings
-  where embedding is not null and not list_bool_or(list_transform(embedding, c -> c is null or not isfinite(c)))),
+  select vec_id, [floor(256 * c::double) for c in embedding] as x from embeddings
+  where embedding is not null and not list_bool_or([c is null or not isfinite(c) for c in embedding])),
 scored as (
   select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score
   from usable q join usable c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0),
