@@ -1,5 +1,9 @@
 """Small awkward inputs shared by the operator tests."""
 
+from pyspark.sql import functions as F
+
+# Names that operators use for columns of their own.
+CLASHING = ("weight", "toxic", "row", "key", "units", "segment", "node", "hub", "block", "kept", "digest", "band", "row_id", "n_words")
 AWKWARD = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, shard int, fp bigint, n long"
 
 
@@ -11,8 +15,12 @@ def awkward(spark):
         (4, "", "en", "a", 0, 0.0, 1, 1, 1), (None, "no id here", "en", "a", 2, 0.0, 1, 1, 1), (5, " \n\t ", "en", "a", 2, 0.0, 1, 1, 1),
         (6, "x" * 30_000, "en", "a", 2, 0.0, 1, 1, 1), (7, "word " * 20_000, "en", "a", 2, 0.0, 1, 1, 1), (8, "é ß  ü", "en", "a", 2, 0.0, 1, 1, 1),
     ]
-    return spark.createDataFrame(rows, AWKWARD)
+    return clashing(spark.createDataFrame(rows, AWKWARD))
+
+
+def clashing(frame):
+    return frame.withColumns({c: F.lit("a text") for c in CLASHING})
 
 
 def empty(spark):
-    return spark.createDataFrame([], AWKWARD)
+    return clashing(spark.createDataFrame([], AWKWARD))

@@ -5,6 +5,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, empty
 from wardlog.llm import decontaminate, queries
@@ -78,7 +79,9 @@ def test_edited_passages_equal_brute_force(spark):
 def test_awkward_input(spark, frame):
     docs = frame(spark)
     bench = spark.createDataFrame([(1, "alpha beta gamma delta alpha beta gamma"), (2, None), (None, "no id here at all"), (3, ""), (4, "short")],
-                                  "item_id bigint, text string")
+                                  "item_id bigint, text string").withColumn("row", F.lit("x"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
     assert got == ({(1, 1), (2, 1)} if docs.count() else set())
+    unnamed = decontaminate.without_leaks(docs, bench.withColumn("item_id", F.lit(None).cast("bigint")))
+    assert unnamed.columns == docs.columns and unnamed.count() == max(0, docs.count() - 3)
     assert decontaminate.leaks(docs, bench.where("false")).count() == 0

@@ -152,3 +152,31 @@ def test_awkward_input_has_one_result_per_row(spark, frame):
     docs = frame(spark)
     for op in (substring_trees.remove_windows, suffix_runs.remove_substrings):
         assert op(docs).count() == docs.count()
+
+
+def test_words_that_agree_in_32_bits_are_told_apart(spark):
+    rows = [(1, " ".join(["w58564", *[f"k{i}" for i in range(19)]])), (2, " ".join(["w384818", *[f"k{i}" for i in range(19)]])),
+            (3, " ".join([*[f"k{i}" for i in range(10)], "w58564", *[f"m{i}" for i in range(19)]])),
+            (4, " ".join([*[f"k{i}" for i in range(10)], "w384818", *[f"m{i}" for i in range(19)]]))]
+    got = substring_trees.remove_windows(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == dict.fromkeys(range(1, 5), 0)
+
+
+def test_wanted_anchors_in_slices(spark, monkeypatch):
+    from wardlog.llm import repeats
+    monkeypatch.setattr(repeats, "SLICE", 7)
+    rng = np.random.default_rng(0)
+    data = rng.integers(97, 100, 3000).astype(np.uint8)
+    offsets = np.array([0, 900, 900, 1000, 3000])
+    spec = repeats.Spec(50, 24, words=False, within=False)
+    symbols = repeats.read_symbols(data, offsets, spec)
+    anchors = repeats.find_anchors(symbols, spec)
+    block = repeats.Block(np.array([4, 1, 3, 2]), data, offsets, symbols, anchors)
+    wanted = repeats.gram_keys(block, spec, 5)
+    found, at, member = repeats.collect_suffixes(block, spec, wanted, 5)
+    bounds = [(0, 900), (900, 900), (900, 1000), (1000, 3000)]
+    for k, m in zip(at, member):
+        low, high = next((a, b) for a, b in bounds if a <= k < b)
+        ahead = bytes(data[k:min(high, k + 50)]).ljust(50, b"\0")
+        behind = bytes(data[max(low, k - 26):k][::-1]).ljust(26, b"\0")
+        assert bytes(found.table[m]) == ahead + behind + bytes([max(0, k + 50 - high), min(26, k - low)])

@@ -7,6 +7,7 @@ Equal sequences always hash alike; different ones collide about as often as rand
 
 from __future__ import annotations
 
+import ctypes
 from functools import cache
 
 import numpy as np
@@ -21,6 +22,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 NULL_ID = -(2 ** 63)  # a document without an id, inside numpy arrays
 # Rows of a batch handed to Python: text batches stay at a few MB.
 BATCH_ROWS = 512
+# Tables of whole texts are written in row groups of this size: every writing task holds one in memory.
+ROW_GROUP_BYTES = 16 << 20
 # Separators of words in the dealt contracts: space, tab, line feed, vertical tab, form feed, return.
 SPACES = b" \t\n\v\f\r"
 
@@ -30,6 +33,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) != str(BATCH_ROWS):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if spark.conf.get("parquet.block.size", None) is None:
+        spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
     return spark
 
 
@@ -53,6 +58,19 @@ def finite(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True))
 
 
+@cache
+def _trim():
+    """The C library's call that returns freed memory to the system, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
 def text_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):

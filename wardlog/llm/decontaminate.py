@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlog.llm.common import gram_hashes, ids_back, ids_column
@@ -199,18 +199,21 @@ def verify(pairs: DataFrame, span: int, error: float) -> DataFrame:
     return pairs.mapInArrow(run, LEAK)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, error: float = ERROR) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, error: float = ERROR, row: Column | None = None) -> DataFrame:
     """One row per document row and leaked item: ``doc_id, row, item_id`` and where, with the fewest ``edits``.
 
-    ``docs`` has ``doc_id, text`` and optionally ``row`` (passed through, else 0); ``benchmark`` has ``item_id, text``. Places
-    count characters of the normalised texts; those in documents are exact up to the edits. Documents without
-    text leak nothing. Items without text or id, or shorter than a q-gram, cannot be found. Rows of equal
-    ``doc_id`` and ``row`` are reported once; missing ids are reported as null.
+    ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``; other columns play no part. ``row`` is an expression over
+    ``docs`` that tells rows of one id apart (0 if not given). Places count characters of the normalised texts; those in documents
+    are exact up to the edits. Documents without text leak nothing. Items without text, or shorter than a q-gram,
+    cannot be found. Rows of equal ``doc_id`` and ``row`` are reported once; missing ids are reported as null, and
+    so are those of items, which count as one item together.
     """
     spark = docs.sparkSession
-    row = F.col("row") if "row" in docs.columns else F.lit(0)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.cast("bigint").alias("row"), "text")
-    items = materialize(item_texts(benchmark).where(F.col("item_id").isNotNull() & (F.length("item") >= Q)).distinct(), "items")
+    number = F.lit(0) if row is None else row
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), number.cast("bigint").alias("row"), F.col("text").cast("string").alias("text"))
+    named = item_texts(benchmark).where(F.length("item") >= Q).distinct().withColumnRenamed("item_id", "named")
+    named = materialize(named.withColumn("item_id", F.monotonically_increasing_id()), "items")  # items are told apart by number
+    items = named.select("item_id", "item")
     shortest = items.agg(F.min(F.length("item"))).first()[0]
     if shortest is None:
         return spark.createDataFrame([], LEAK)
@@ -233,7 +236,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, error: float
     proven = verify(pairs.select("doc_id", "row", "start", "region", "item_id", "item", "band"), span, error)
     best = F.max_by(F.struct("item_start", "item_end", "doc_start", "doc_end", "edits"),
                     F.struct(F.col("item_end") - F.col("item_start"), -F.col("edits"), -F.col("doc_start"))).alias("best")
-    return proven.groupBy("doc_id", "row", "item_id").agg(best).select("doc_id", "row", "item_id", "best.*")
+    proven = proven.join(named.select("item_id", "named"), "item_id")
+    return proven.groupBy("doc_id", "row", "named").agg(best).select("doc_id", "row", F.col("named").alias("item_id"), "best.*")
 
 
 def weakest(shortest: int, span: int, error: float) -> tuple[int, int, int]:
@@ -248,6 +252,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, error
     Whether a row leaks depends on its text alone, so a hash of the text leads back to the rows.
     """
     digest = F.xxhash64(F.col("text").cast("string"))
-    found = leaks(docs.select("doc_id", "text", digest.alias("row")), benchmark, span, error)
+    found = leaks(docs, benchmark, span, error, row=digest)
     leaking = found.select(F.col("doc_id").alias("k_doc"), F.col("row").alias("k_digest")).distinct()
     return docs.join(leaking, docs.doc_id.eqNullSafe(leaking.k_doc) & (digest == leaking.k_digest), "left_anti")

@@ -71,7 +71,7 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_toxicity")
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query("op9_embedding_near_dedup")

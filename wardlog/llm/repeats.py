@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wardlog.llm.common import NULL_ID, gram_hashes, ids_column, slice_hashes, text_column, word_slices
+from wardlog.llm.common import NULL_ID, give_back, gram_hashes, ids_column, slice_hashes, text_column, word_slices
 from wardlog.session import materialize, scratch_path
 
 BLOCK_BYTES = 4 << 20
@@ -56,7 +56,7 @@ class Spec(NamedTuple):
 
     @property
     def width(self) -> int:
-        """Bytes of a symbol in exchanged rows."""
+        """Bytes of a symbol in rows: a byte, or the code of a word."""
         return 4 if self.words else 1
 
 
@@ -205,7 +205,7 @@ def record_rows(batches):
     for batch in batches:
         for k in range(batch.num_rows):
             yield {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
-            pa.default_memory_pool().release_unused()
+            give_back()
 
 
 def shared_grams(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
@@ -254,37 +254,48 @@ def shared_grams(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
 class Suffixes(NamedTuple):
     """Distinct suffixes of a block with their surroundings, in byte order."""
     table: np.ndarray  # rows of bytes: suffix, symbols before it (nearest first), first and last shift
+    letters: np.ndarray  # of words: the hash of each code in ``table``; code 0 stands outside the document
     doc: np.ndarray  # earliest owner
     pos: np.ndarray
     alone: np.ndarray  # a single anchor of the block has it
 
 
+SLICE = 16_384  # anchors whose surroundings are looked up at once
+
+
 def collect_suffixes(block: Block, spec: Spec, wanted: np.ndarray, buckets: int) -> tuple[Suffixes, np.ndarray, np.ndarray]:
-    """Suffixes at anchors whose gram is in ``wanted``; also the anchors and the suffix of each."""
+    """Suffixes at anchors whose gram is in ``wanted``; also the anchors and the suffix of each.
+
+    Words are written as the rank of their 64-bit hash in the block, which keeps rows short and in the order of the hashes.
+    """
     keys = gram_keys(block, spec, buckets)
     at = block.anchors[np.isin(keys, wanted)]
     document = block.document(at)
     low, high = block.symbols.bounds[document], block.symbols.bounds[document + 1]
-    values = block.symbols.values if not spec.words else block.symbols.values.astype(np.uint32).astype(">u4")
+    values, letters = block.symbols.values, np.zeros(0, np.uint64)
+    if spec.words:
+        letters, codes = np.unique(values, return_inverse=True)
+        letters, values = np.concatenate([np.zeros(1, np.uint64), letters]), (codes + 1).astype(">u4")
     side = spec.reach - 1
-
-    def around(steps: np.ndarray, inside: Callable) -> np.ndarray:
-        places = at[:, None] + steps
-        held = values[np.clip(places, 0, max(0, len(values) - 1))]
-        held[~inside(places)] = 0
-        return held.view(np.uint8).reshape(len(at), len(steps) * spec.width)
-
-    first = np.maximum(0, at + spec.length - high).astype(np.uint8)[:, None]
-    final = np.minimum(side, at - low).astype(np.uint8)[:, None]
-    rows = np.hstack([around(np.arange(spec.length), lambda p: p < high[:, None]),
-                      around(-np.arange(1, side + 1), lambda p: p >= low[:, None]), first, final])
-    distinct, member = np.unique(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), return_inverse=True)
+    steps = np.concatenate([np.arange(spec.length), -np.arange(1, side + 1)])
+    rows = np.empty((len(at), len(steps) * spec.width + 2), np.uint8)
+    for begin in range(0, len(at), SLICE):
+        part = slice(begin, begin + SLICE)
+        places = at[part, None] + steps
+        outside = (places < low[part, None]) | (places >= high[part, None])
+        held = values[np.clip(places, 0, max(0, len(values) - 1), out=places)]
+        held[outside] = 0
+        rows[part, :-2] = held.view(np.uint8).reshape(len(held), -1)
+    rows[:, -2] = np.maximum(0, at + spec.length - high)
+    rows[:, -1] = np.minimum(side, at - low)
+    distinct, member = np.unique(rows.view(f"S{rows.shape[1]}").ravel(), return_inverse=True)
+    del rows
     doc, pos = block.ids[document], at - low
     order = np.lexsort((pos, doc, member))
     lead = order[np.searchsorted(member[order], np.arange(len(distinct)))] if len(order) else order
     alone = np.bincount(member, minlength=len(distinct)) == 1
-    table = np.frombuffer(distinct.tobytes(), np.uint8).reshape(len(distinct), rows.shape[1])
-    return Suffixes(table, doc[lead], pos[lead], alone), at, member.astype(np.int32)
+    table = distinct.view(np.uint8).reshape(len(distinct), len(steps) * spec.width + 2)
+    return Suffixes(table, letters, doc[lead], pos[lead], alone), at, member.astype(np.int32)
 
 
 def common_prefix(table: np.ndarray) -> np.ndarray:
@@ -454,6 +465,7 @@ def remove_repeats(docs: DataFrame, spec: Spec, deal: Callable, combine: Callabl
         if part.column("part")[0].as_py() < 0:  # what a block keeps for itself
             return pa.table({"block": pa.array(of, pa.int64()), "own": pa.array([True] * len(of)), "blob": pa.array(blobs, pa.binary())})
         to, found = combine(blobs, of)
+        give_back()
         return pa.table({"block": pa.array(to, pa.int64()), "own": pa.array([False] * len(to), pa.bool_()),
                          "blob": pa.array(found, pa.binary())})
 

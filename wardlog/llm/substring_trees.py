@@ -28,12 +28,12 @@ OWNER = np.dtype([("doc", "<i8"), ("pos", "<i8"), ("member", "<i4"), ("alone", "
 
 
 def prefix_codes(words: np.ndarray, codes: int) -> list[np.ndarray]:
-    """Code of the prefix of each level, for rows of 32-bit words."""
+    """Code of the prefix of each level, for rows of word hashes."""
     out = []
     for size in LEVELS:
         total = np.zeros(len(words), np.uint64)
         for j in range(size):
-            total = (total + words[:, j].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            total = (total + words[:, j] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         out.append(((total >> np.uint64(33)) % np.uint64(codes)).astype(np.int64))
     return out
 
@@ -50,7 +50,7 @@ def heavy_prefixes(blocks: DataFrame, spec: Spec, codes: int) -> np.ndarray:
         for row in record_rows(batches):
             block = open_block(row, spec)
             head = np.minimum(block.anchors[:, None] + np.arange(max(LEVELS)), max(0, len(block.symbols.values) - 1))
-            words = block.symbols.values.astype(np.uint32)[head]
+            words = block.symbols.values[head]
             for level, found in enumerate(prefix_codes(words, codes)[:-1]):
                 sums[level] += np.bincount(found, minlength=codes)
         level, code = np.nonzero(sums > 8 * sums.sum(axis=1, keepdims=True) / codes)
@@ -98,7 +98,7 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
 
     Other columns named in ``carry`` follow as ``carried_<name>``. A null text has no
     words; a missing id counts as smaller than all others; rows with equal ids are compared by position.
-    Words are compared by 32 bits of their hash each, windows therefore by 640 bits.
+    Words are compared by 64 bits of their hash.
     """
     spec = Spec(length, gram, words=True, within=True)
     size = (length + spec.reach - 1) * spec.width + 2
@@ -108,7 +108,8 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         heavy = heavy_prefixes(blocks, spec, codes)
 
         def send(found: Suffixes) -> list[tuple[int, bytes]]:
-            words = np.ascontiguousarray(found.table[:, :max(LEVELS) * 4]).view(">u4")
+            letters = np.ascontiguousarray(found.table[:, :-2]).view(">u4")
+            words = found.letters[letters[:, :max(LEVELS)]]
             by_level = prefix_codes(words, codes)
             level, group = np.zeros(len(words), np.int64), by_level[0].copy()
             for k in range(len(LEVELS) - 1):
@@ -122,20 +123,34 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
                 rows = order[edges[p]:edges[p + 1]]
                 owner = np.empty(len(rows), OWNER)
                 owner["doc"], owner["pos"], owner["member"], owner["alone"] = found.doc[rows], found.pos[rows], rows, found.alone[rows]
-                out.append((int(p), shut(np.concatenate([np.array([len(rows)], "<i8").view(np.uint8), owner.view(np.uint8).ravel(),
-                                                         found.table[rows].ravel()]))))
+                # Words are sent once, rows as their places in that list.
+                used, local = np.unique(letters[rows], return_inverse=True)
+                local = local.ravel().astype("<u2" if len(used) <= 1 << 16 else "<u4")
+                out.append((int(p), shut(np.concatenate([
+                    np.array([len(rows), len(used)], "<i8").view(np.uint8), found.letters[used].astype("<u8").view(np.uint8),
+                    owner.view(np.uint8).ravel(), local.view(np.uint8), found.table[rows, -2:].ravel()]))))
             return out
         return send
 
     def combine(blobs: list[bytes], of: list[int]) -> tuple[list[int], list[bytes]]:
-        owners, tables, blocks = [], [], []
+        owners, lists, places, shifts, blocks = [], [], [], [], []
         for blob, block in zip(blobs, of):
             raw = opened(blob, np.uint8)
-            n = int(raw[:8].view("<i8")[0])
-            cut = 8 + n * OWNER.itemsize
-            owners.append(raw[8:cut].copy().view(OWNER))
-            tables.append(raw[cut:].reshape(n, size))
+            n, used = (int(v) for v in raw[:16].view("<i8"))
+            ends = np.cumsum([16, used * 8, n * OWNER.itemsize, n * (size - 2) // spec.width * (2 if used <= 1 << 16 else 4), n * 2])
+            listed, owner, local, shift = (raw[a:b] for a, b in zip(ends[:-1], ends[1:]))
+            lists.append(listed.copy().view("<u8"))
+            owners.append(owner.copy().view(OWNER))
+            places.append(local.copy().view("<u2" if used <= 1 << 16 else "<u4"))
+            shifts.append(shift.reshape(n, 2))
             blocks.append(np.full(n, block, np.int64))
+        letters = np.unique(np.concatenate([np.zeros(1, np.uint64), *lists]))  # codes of the part, in the order of the hashes
+        tables = []
+        for listed, local, shift in zip(lists, places, shifts):
+            table = np.empty((len(shift), size), np.uint8)
+            table[:, :-2] = np.searchsorted(letters, listed).astype(">u4")[local].view(np.uint8).reshape(len(shift), size - 2)
+            table[:, -2:] = shift
+            tables.append(table)
         table, owner, block = np.concatenate(tables), np.concatenate(owners), np.concatenate(blocks)
         order = np.argsort(table.view(f"S{size}").ravel(), kind="stable")
         table, owner, block = table[order], owner[order], block[order]

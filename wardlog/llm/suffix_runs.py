@@ -180,7 +180,7 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated substrings cut out of ``text``; all rows and columns stay.
+    """``docs`` with repeated substrings cut out of ``text``; all rows and columns stay. A null text becomes an empty one.
 
     Where a cut leaves part of a character, the part goes too. ``n_chars``, if there, is counted anew.
     """

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlog.llm.common import ids_back, ids_column
+from wardlog.llm.common import give_back, texts
 from wardlog.session import materialize
 
 SAMPLE_ROWS = 4000  # labelled documents of each class used to fit, at most (in expectation)
@@ -390,6 +390,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
     The character model holds what their own lattices ask for. Without labels, every score is the same low one.
     """
+    docs = texts(docs)
     keys, gram_counts = character_counts(docs, of_lattices=True)
     chosen = sampled_labels(labels, sample_rows).collect()  # bounded: the sample
     spark = docs.sparkSession
@@ -441,29 +442,26 @@ class Rater:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, row, score`` of every row; a text without telling words gets the base rate."""
-    row = F.col("row") if "row" in docs.columns else F.lit(0)
+    """``doc_id, score`` of every row; a text without telling words gets the base rate."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         rate = Rater(shared.value)
         for batch in batches:
-            out = [rate(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([ids_back(ids_column(batch.column(0))), batch.column(1), pa.array(out, pa.float64())],
-                                             names=["doc_id", "row", "score"])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.cast("bigint").alias("row"), "text").mapInArrow(
-        run, "doc_id bigint, row bigint, score double")
+            out = [rate(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
+    return texts(docs).mapInArrow(run, "doc_id bigint, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5) -> DataFrame:
-    """``doc_id, row, held_out, score, predicted``, one row per row of ``docs``.
+    """``doc_id, held_out, score, predicted``, one row per row of ``docs``, whatever its other columns are called.
 
     Null and empty texts get the base rate. Labels that are null or neither 0 nor 1 are ignored; a document
     labelled twice counts twice. Rows without an id are scored but never held out.
     """
     model = fit(docs, labels, sample_rows)
     return score(docs, model).select(
-        "doc_id", "row", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -477,4 +475,5 @@ def keep_clean(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
         for batch in batches:
             clean = [rate(t) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
+            give_back()
     return docs.mapInArrow(run, docs.schema)
