@@ -123,34 +123,33 @@ def remove_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
                 rows = order[edges[p]:edges[p + 1]]
                 owner = np.empty(len(rows), OWNER)
                 owner["doc"], owner["pos"], owner["member"], owner["alone"] = found.doc[rows], found.pos[rows], rows, found.alone[rows]
-                # Words are sent once, rows as their places in that list.
-                used, local = np.unique(letters[rows], return_inverse=True)
-                local = local.ravel().astype("<u2" if len(used) <= 1 << 16 else "<u4")
+                # Full hashes travel; codes hold within a block only.
                 out.append((int(p), shut(np.concatenate([
-                    np.array([len(rows), len(used)], "<i8").view(np.uint8), found.letters[used].astype("<u8").view(np.uint8),
-                    owner.view(np.uint8).ravel(), local.view(np.uint8), found.table[rows, -2:].ravel()]))))
+                    np.array([len(rows)], "<i8").view(np.uint8), owner.view(np.uint8).ravel(),
+                    found.letters[letters[rows]].astype("<u8").view(np.uint8).ravel(), found.table[rows, -2:].ravel()]))))
             return out
         return send
 
     def combine(blobs: list[bytes], of: list[int]) -> tuple[list[int], list[bytes]]:
-        owners, lists, places, shifts, blocks = [], [], [], [], []
+        owners, words, shifts, blocks = [], [], [], []
         for blob, block in zip(blobs, of):
             raw = opened(blob, np.uint8)
-            n, used = (int(v) for v in raw[:16].view("<i8"))
-            ends = np.cumsum([16, used * 8, n * OWNER.itemsize, n * (size - 2) // spec.width * (2 if used <= 1 << 16 else 4), n * 2])
-            listed, owner, local, shift = (raw[a:b] for a, b in zip(ends[:-1], ends[1:]))
-            lists.append(listed.copy().view("<u8"))
+            n = int(raw[:8].view("<i8")[0])
+            ends = np.cumsum([8, n * OWNER.itemsize, n * (size - 2) // spec.width * 8, n * 2])
+            owner, hashes, shift = (raw[a:b] for a, b in zip(ends[:-1], ends[1:]))
             owners.append(owner.copy().view(OWNER))
-            places.append(local.copy().view("<u2" if used <= 1 << 16 else "<u4"))
+            words.append(hashes.copy().view("<u8"))
             shifts.append(shift.reshape(n, 2))
             blocks.append(np.full(n, block, np.int64))
-        letters = np.unique(np.concatenate([np.zeros(1, np.uint64), *lists]))  # codes of the part, in the order of the hashes
+        # Words become codes of the part, in the order of their hashes; 0 stays 0.
+        letters = np.unique(np.concatenate([np.zeros(1, np.uint64), *[np.unique(w) for w in words]]))
         tables = []
-        for listed, local, shift in zip(lists, places, shifts):
+        for k, shift in enumerate(shifts):
             table = np.empty((len(shift), size), np.uint8)
-            table[:, :-2] = np.searchsorted(letters, listed).astype(">u4")[local].view(np.uint8).reshape(len(shift), size - 2)
+            table[:, :-2] = np.searchsorted(letters, words[k]).astype(">u4").view(np.uint8).reshape(len(shift), size - 2)
             table[:, -2:] = shift
             tables.append(table)
+            words[k] = None
         table, owner, block = np.concatenate(tables), np.concatenate(owners), np.concatenate(blocks)
         order = np.argsort(table.view(f"S{size}").ravel(), kind="stable")
         table, owner, block = table[order], owner[order], block[order]
