@@ -111,6 +111,8 @@ def test_alert_ids_make_rewrites_idempotent(spark, rows, tmp_path):
         wr.write_alerts(alerts, str(tmp_path / "a"), run)
     stored = spark.read.parquet(str(tmp_path / "a"))
     assert {(r.run_id, r["count"]) for r in stored.groupBy("run_id").count().collect()} == {("r1", 2), ("r2", 2)}
+    wr.write_alerts(alerts.where("false"), str(tmp_path / "a"), "r1")  # a run that finds nothing leaves nothing
+    assert [r.run_id for r in spark.read.parquet(str(tmp_path / "a")).select("run_id").distinct().collect()] == ["r2"]
 
 
 def test_csv_files_are_listed_with_their_size(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from wardlog.learning.detector import Detector
 from wardlog.operators import records as rec
 from wardlog.operators import windows as win
+from wardlog.schema import ALERT
 from wardlog.sources import readers as rd
 from wardlog.streaming import jobs
 
@@ -72,10 +73,39 @@ def test_sessions_equal_batch_for_closed_bursts(spark, rows, tmp_path):
     assert out.exceptAll(closed).isEmpty() and closed.exceptAll(out).isEmpty()
 
 
-def test_alerts_are_distinct_across_batches(spark, rows, tmp_path):
-    df = rows([("x", T0), ("y", T0)], "alert_id string, `@timestamp` timestamp")
-    out = drain(spark, jobs.distinct_alerts(feed(spark, tmp_path, "in", df, df, df.limit(1))), tmp_path, "out")
-    assert sorted(r.alert_id for r in out.collect()) == ["x", "y"]
+def scored(spark, tmp_path, batch_id, ids, at):
+    """A batch of scored alerts, as the scoring job stores them."""
+    alert = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in ALERT.fields])
+    named = spark.createDataFrame([(i, at) for i in ids], "alert_id string, scored_at timestamp")
+    folder = f"{tmp_path}/scored/run_id=r/batch_id={batch_id}"
+    alert.crossJoin(named).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def follow(spark, tmp_path, **more):
+    query = jobs.start_alert_log(spark, f"{tmp_path}/scored", f"{tmp_path}/log", f"{tmp_path}/cp", available_now=True, **more)
+    query.awaitTermination()
+    return query
+
+
+def test_alert_log_remembers_across_batches_and_restarts(spark, tmp_path):
+    scored(spark, tmp_path, 0, ["x", "y", "x"], T0)
+    follow(spark, tmp_path)
+    scored(spark, tmp_path, 1, ["y", "z"], T0 + dt.timedelta(days=1))
+    scored(spark, tmp_path, 0, ["x", "y"], T0)  # the batch again, in new files
+    query = follow(spark, tmp_path)  # a new start from the checkpoint
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert sorted(r.alert_id for r in log.collect()) == ["x", "y", "z"]
+    # Only the new files are read: the work of a batch does not grow with the log.
+    assert sum(p.numInputRows for p in query.recentProgress) == 4
+
+
+def test_alert_log_forgets_after_its_time_to_live(spark, tmp_path):
+    for day, ids in enumerate([["x"], ["x", "y"], ["z"], ["z"], ["z"], ["x", "z"]]):
+        scored(spark, tmp_path, day, ids, T0 + dt.timedelta(days=day))
+        query = follow(spark, tmp_path, time_to_live="36 hours")
+    times = sorted((r.alert_id, r.scored_at.day) for r in spark.read.parquet(f"{tmp_path}/log").collect())
+    assert times == [("x", 1), ("x", 6), ("y", 2), ("z", 3)]
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 3
 
 
 def test_throttle_per_key(spark, rows, tmp_path):
@@ -115,6 +145,8 @@ def test_scoring_batches_write_once(spark, rows, tmp_path):
     alerts = spark.read.parquet(out)
     assert alerts.count() == 80 and {r.batch_id for r in alerts.select("batch_id").distinct().collect()} == {0, 1}
     assert alerts.select("alert_id").distinct().count() == 80
+    jobs.start_alert_log(spark, out, str(tmp_path / "log"), str(tmp_path / "log-cp"), available_now=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 80
 
 
 def test_text_events_match_the_stream_parser(spark, rows):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,9 +89,9 @@ def alert_rows(predictions: DataFrame, model: str | None = None, dedup_order: st
 
 
 def write_alerts(alerts: DataFrame, path: str, run_id: str) -> None:
-    """Write the alerts of a run; a run owns its ``run_id`` partition, and writing it again replaces it."""
-    (alerts.withColumn("alert_date", F.to_date("@timestamp")).withColumn("run_id", F.lit(run_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    """Write the alerts of a run; a run owns its ``run_id`` partition, and writing it again replaces it, also by nothing."""
+    folder = f"{path}/run_id={quote(run_id, safe='')}"  # as partition folders escape their values
+    alerts.withColumn("alert_date", F.to_date("@timestamp")).write.mode("overwrite").parquet(folder)
 
 
 def write_json_document(row: DataFrame, path: str, mode: str = "overwrite") -> None:

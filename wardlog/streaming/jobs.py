@@ -15,21 +15,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from wardlog.functions import parsing as P
 from wardlog.learning.detector import Detector
 from wardlog.operators import records as rec
 from wardlog.operators import windows as win
 from wardlog.operators.features import preprocess
+from wardlog.schema import ALERT
 from wardlog.session import materialize, scratch_scope
 from wardlog.sources import writers as wr
-from wardlog.sources.readers import path_exists
 
 # Tolerated clock skew and the quiet time between notifications.
 DEFAULT_DELAY = "12 hours"
 QUIET_SECONDS = 45.0
 # A key that was silent for so long starts afresh.
 FORGET_SECONDS = 24 * 3600.0
+# So long an alert is remembered: the same one coming again is not written.
+ALERT_TIME_TO_LIVE = "7 days"
 
 NOTICE = "key string, timestamp timestamp, detail string"
 
@@ -73,9 +76,14 @@ def failed_sessions(events: DataFrame, gap_minutes: int = 5, delay: str = DEFAUL
     return win.failed_session_stream(events.withWatermark("timestamp", delay), gap_minutes)
 
 
-def distinct_alerts(alerts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Drop alerts whose ``alert_id`` was already seen within the delay."""
-    return alerts.withWatermark("`@timestamp`", delay).dropDuplicatesWithinWatermark(["alert_id"])
+def distinct_alerts(alerts: DataFrame, arrived: str = "scored_at", time_to_live: str = ALERT_TIME_TO_LIVE) -> DataFrame:
+    """Drop alerts whose ``alert_id`` arrived before, as keyed state with a time to live.
+
+    ``arrived`` is the time an alert came in, never null. An id is kept for ``time_to_live`` after its first alert at least, and
+    forgotten once alerts have come from twice that time later. So the state holds the ids of that time, and no
+    batch looks at what was written earlier.
+    """
+    return alerts.withWatermark(arrived, time_to_live).dropDuplicatesWithinWatermark(["alert_id"])
 
 
 def score_batch(batch: DataFrame, detector: Detector, model: str, window_minutes: int = 5) -> DataFrame:
@@ -86,20 +94,17 @@ def score_batch(batch: DataFrame, detector: Detector, model: str, window_minutes
 
 def start_scoring(events: DataFrame, detector: Detector, path: str, checkpoint: str, model: str = "unified",
                   run_id: str = "stream", available_now: bool = False) -> StreamingQuery:
-    """Score each micro-batch and write its alerts; an alert of an earlier batch of the run is not repeated.
+    """Score each micro-batch and write its alerts, each once within the batch, with the moment they were ``scored_at``.
 
     A batch owns the partitions ``run_id, batch_id``; when it is retried it
     replaces them, so no alert is written twice. The batch is stored once for the passes of
-    the features, and its intermediate tables go when its alerts are written.
+    the features, and its intermediate tables go when its alerts are written. Nothing of earlier batches is read:
+    ``start_alert_log`` drops what they had already.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with scratch_scope(spark):
-            alerts = materialize(score_batch(materialize(batch, "batch"), detector, model), "batch-alerts")
-            if path_exists(spark, f"{path}/run_id={run_id}"):
-                written = spark.read.parquet(path).where((F.col("run_id") == run_id) & (F.col("batch_id") < batch_id))
-                alerts = alerts.join(written.select("alert_id"), "alert_id", "left_anti").select(*alerts.columns)
-            (alerts.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id))
+        with scratch_scope(batch.sparkSession):
+            alerts = score_batch(materialize(batch, "batch"), detector, model)
+            (alerts.withColumn("scored_at", F.current_timestamp()).withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id", "batch_id").parquet(path))
 
@@ -107,6 +112,24 @@ def start_scoring(events: DataFrame, detector: Detector, path: str, checkpoint:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def scored_alerts(spark: SparkSession, scored: str) -> DataFrame:
+    """The alerts of ``start_scoring`` as a stream.
+
+    A retried batch replaces its files. Replaced files are passed over if they are gone, and the ids of those that
+    were read already are known when the new ones come.
+    """
+    schema = StructType([*ALERT.fields, *StructType.fromDDL("alert_id string, scored_at timestamp, run_id string, batch_id bigint").fields])
+    return spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(scored)
+
+
+def start_alert_log(spark: SparkSession, scored: str, path: str, checkpoint: str, time_to_live: str = ALERT_TIME_TO_LIVE,
+                    available_now: bool = False) -> StreamingQuery:
+    """Follow the scored alerts and append each ``alert_id`` to the alert log once, whichever batch it comes in."""
+    writer = (distinct_alerts(scored_alerts(spark, scored), time_to_live=time_to_live).writeStream.format("parquet")
+              .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def admitted(moments: np.ndarray, quiet: float, last: float | None) -> tuple[np.ndarray, float | None]:
     """Places of the moments (in order) shown when each waits ``quiet`` after the one before."""
     shown = []
