@@ -75,6 +75,37 @@ def test_exact_quantiles(rows, values):
     assert got[0.5] == pytest.approx(statistics.median(values), abs=1e-12)
 
 
+def test_brackets_leave_most_values_uncounted(spark, monkeypatch):
+    monkeypatch.setattr(K, "SKETCH", 200)
+    data = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").cast("double").alias("x"), "id")
+    near = K.bracket_counts(data, ["g"], "x", [0.25, 0.9])
+    held = near.collect()
+    assert len(held) < 20_000 * 2 * 0.06
+    by_group = {g: sorted(r.x for r in data.collect() if r.g == g) for g in (0, 1)}
+    for r in held:
+        assert r.n == 10_000 and by_group[r.g][r.upto - 1] == r.x
+    got = {(r.g, r.prob): r.quantile for r in K.exact_quantiles(data, ["g"], F.col("x"), [0.25, 0.9]).collect()}
+    for (g, p), q in got.items():
+        at = 9_999 * p
+        low = by_group[g][int(at)]
+        assert q == pytest.approx(low + (by_group[g][int(at) + 1] - low) * (at - int(at)), rel=1e-12)
+
+
+@pytest.mark.parametrize("rank", [0, 1, 777, 49_999, 50_000, 50_001])
+def test_hash_cutoffs_equal_a_sort(spark, rank):
+    df = spark.range(50_000)
+    order = K.hash_order(F.col("id"), 3)
+    cut = K.hash_cutoffs(df, [], order, spark.range(1).select(F.lit(rank).alias("rank"), F.lit(50_000).alias("n"))).collect()
+    ranked = sorted(r[0] for r in df.select(order).collect())
+    assert [r.cut for r in cut] == ([ranked[rank - 1]] if 1 <= rank <= 50_000 else [])
+
+
+def test_hash_cutoffs_with_one_repeated_key(spark):
+    df = spark.range(1000).select(F.lit(1).alias("id"))
+    marked = K.lowest_by_hash(df, [], K.hash_order(F.col("id"), 3), spark.range(1).select(F.lit(10).alias("rank")))
+    assert marked.where("_picked").count() in (0, 1000)
+
+
 def test_running_totals(rows):
     data = [(i, (i * 37) % 11) for i in range(500)]
     random.Random(0).shuffle(data)

@@ -213,3 +213,13 @@ def test_profile(rows):
     bare = M.dataset_profile(rows([(1,)], "x int")).first()
     assert (bare.rows, bare.has_timestamp, bare.unique_ips) == (1, False, 0)
     assert [(r.name, r.type) for r in M.column_types(df).collect()][0] == ("source_ip", "string")
+
+
+def test_hours_of_the_first_readable_time_in_a_zone(rows):
+    data = [("2024-01-01 23:10:00", None, True), ("junk", "2024-01-01T23:20:00Z", True), (None, "2024-01-01 23:30:00", True), ("", "", True), (None, None, True),
+            ("2024-01-01 22:00:00", "2024-01-01 10:00:00", False)]
+    df = rows(data, "timestamp string, `@timestamp` string, is_attack boolean")
+    got = {r.hour_start.hour: r.attacks for r in act.hourly_timeline(df).where("attacks > 0").collect()}
+    assert got == {23: 3}
+    there = act.hourly_timeline(df, zone="Asia/Ho_Chi_Minh").where("attacks > 0").orderBy("hour_start").collect()
+    assert [(r.hour_start.day, r.hour_start.hour, r.attacks) for r in there] == [(1, 23, 2), (2, 6, 1)]

@@ -122,3 +122,48 @@ def test_csv_files_are_listed_with_their_size(spark, tmp_path):
     (tmp_path / "c.txt").write_text("x")
     out = {r.path.rsplit("/", 1)[-1]: r.size_mb for r in rd.list_csv_files(spark, str(tmp_path)).collect()}
     assert out == {"a.csv": 1.0, "b.csv": 0.0}
+
+
+def plan_nodes(df):
+    """Every node of the plan that ran, with its class name."""
+    df.collect()
+    stack = [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        yield node.getClass().getSimpleName(), node
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+        elif hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+            stack.append(node.plan())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+
+
+def test_lines_are_numbered_without_moving_them(spark, tmp_path):
+    for name, n in (("a.log", 5000), ("b.log", 3), ("c.log", 0)):
+        (tmp_path / name).write_text("".join(f"{name} line {i}\n" for i in range(1, n + 1)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several splits for the large file
+    try:
+        out = rd.read_numbered_lines(spark, str(tmp_path))
+        assert out.rdd.getNumPartitions() > 3
+        assert all(r.value == f"{r.file.rsplit('/', 1)[-1]} line {r.line_no}" for r in out.collect()) and out.count() == 5003
+        moved = [node for kind, node in plan_nodes(out) if "Exchange" in kind or kind == "SortExec"]
+        assert moved and not any("value" in node.output().mkString(" ") for node in moved)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_dated_logs_are_pruned_by_bounds_known_at_run_time(spark, tmp_path):
+    from wardlog.plans.parse_queries import recent_logs
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(hours=h), "m", ("ssh", "web")[h % 2]) for h in range(24 * 30)]
+    path = str(tmp_path / "logs")
+    wr.write_logs(spark.createDataFrame(rows, "timestamp timestamp, message string, log_type string"), path)
+    newest = spark.createDataFrame([(start + dt.timedelta(days=20, hours=6),)], "timestamp timestamp")
+    found = recent_logs(spark, path, newest, hours=36)
+    scans = [node for kind, node in plan_nodes(found) if kind == "FileSourceScanExec"]
+    assert found.count() == 18 + 1
+    # Of 30 days and two prefixes, one prefix of the two days between the bounds is read.
+    assert [scan.metrics().apply("numPartitions").value() for scan in scans] == [2]

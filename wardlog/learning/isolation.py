@@ -127,7 +127,7 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str, trees: in
                      F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
     wanted = trees * sample
     total = slim.count()
-    quota = spark.range(1).select(F.lit(min(wanted, total)).alias("rank"))
+    quota = spark.range(1).select(F.lit(min(wanted, total)).alias("rank"), F.lit(total).alias("n"))
     order = hash_order(F.col("_key"), seed)
     if total > wanted:
         # Bounded by trees * sample rows from here on; consecutive places in hash order make one tree's sample.

@@ -27,7 +27,7 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
     base = df.select(F.col(key).cast("string").alias("_key"), flag.alias("_y"),
                      *[F.col(c).cast("double").alias(c) for c in features])
     quota = class_quota(base, "_y", (F.col("n_max") - F.col("n")) % F.col("n"))
-    marked = lowest_by_hash(base, ["_y"], hash_order(F.col("_key"), seed), quota.select("_y", "rank"))
+    marked = lowest_by_hash(base, ["_y"], hash_order(F.col("_key"), seed), quota.select("_y", "rank", "n"))
     each = quota.where((F.col("n") < F.col("n_max")) & (F.col("n") > k)).select("_y", F.floor((F.col("n_max") - F.col("n")) / F.col("n")).alias("_each"))
     minority = marked.join(F.broadcast(each), "_y").withColumn("_copies", F.col("_each") + F.col("_picked").cast("int"))
     vectors = minority.groupBy(F.array(*features).alias("x")).agg(

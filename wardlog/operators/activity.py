@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlog.functions.values import any_flag
+from wardlog.functions.values import any_flag, display_timestamp, naive_timestamp
 from wardlog.operators.keyed import scalar
 from wardlog.schema import has
 
@@ -17,6 +17,7 @@ from wardlog.schema import has
 MODEL_PRIORITY = ("unified", "kaggle", "russellmitchell", "custom")
 MODEL_DISPLAY = {"unified": "Unified", "kaggle": "Kaggle", "russellmitchell": "Russell", "custom": "Custom"}
 FLAG_COLUMNS = ("is_attack", "ml_anomaly", "prediction", "is_attack_pred")
+TIME_COLUMNS = ("timestamp", "Timestamp", "@timestamp")
 HIGH_RATE, MEDIUM_RATE = 80.0, 40.0
 HIGH_SCORE, MEDIUM_SCORE = 0.7, 0.4
 SUMMARY_HOURS = 12
@@ -91,16 +92,43 @@ def hour_buckets(events: DataFrame, anchor: Column) -> DataFrame:
         "hour_label", F.date_format("hour_start", "HH"))
 
 
+def timed(df: DataFrame, zone: str | None = None) -> DataFrame:
+    """Rows with ``_at``: the first of the time columns that holds a readable time, in ``TIME_COLUMNS``' order.
+
+    Text is read by the four plain layouts. With ``zone`` the result is that zone's wall clock: times of a time type and
+    zoned text move there, plain text stays as it is. A single column of a time type stays bare, so that
+    filters on it reach the scan.
+    """
+    places = [i for name in TIME_COLUMNS for i, c in enumerate(df.columns) if c == name]
+    if not places:
+        raise ValueError(f"no time column among {df.columns}")
+    types = [t for _, t in df.dtypes]
+    # By place: two of the names differ in case only.
+    named = df.toDF(*[f"_time{i}" if i in places else c for i, c in enumerate(df.columns)])
+
+    def read(i: int) -> Column:
+        column = F.col(f"_time{i}")
+        if types[i] == "string":
+            return display_timestamp(column, zone) if zone else naive_timestamp(column)
+        return F.from_utc_timestamp(column, zone) if zone else column.cast("timestamp")
+    values = [read(i) for i in places]
+    return named.withColumn("_at", F.coalesce(*values) if len(values) > 1 else values[0])
+
+
 def hourly_timeline(events: DataFrame, predictions: list[DataFrame] | None = None,
-                    anchor: Column | None = None) -> DataFrame:
-    """Attacks per hour over events and prediction sets; empty hours count 0."""
-    at = _anchor(events, anchor)
-    in_day = F.col("timestamp").between(at - F.expr("INTERVAL 24 HOURS"), at)
-    marks = events.where(any_flag(F.col("is_attack"))).select("timestamp")
+                    anchor: Column | None = None, zone: str | None = None) -> DataFrame:
+    """Attacks per hour over events and prediction sets; empty hours count 0.
+
+    Each row counts at the first of its time columns that can be read (see ``timed``), rows without one nowhere.
+    ``zone`` shows the hours of that zone; ``anchor`` is then its wall clock, too.
+    """
+    rows = timed(events, zone)
+    at = anchor if anchor is not None else scalar(rows, F.max("_at"))
+    marks = rows.where(any_flag(F.col("is_attack"))).select("_at")
     for frame in predictions or []:
-        marks = marks.unionByName(frame.where(flagged(frame)).select("timestamp"))
-    counts = marks.where(in_day).groupBy(F.date_trunc("hour", "timestamp").alias("hour_start")).agg(
-        F.count(F.lit(1)).alias("n"))
+        marks = marks.unionByName(timed(frame, zone).where(flagged(frame)).select("_at"))
+    counts = marks.where(F.col("_at").between(at - F.expr("INTERVAL 24 HOURS"), at)).groupBy(
+        F.date_trunc("hour", "_at").alias("hour_start")).agg(F.count(F.lit(1)).alias("n"))
     return hour_buckets(events, at).join(counts, "hour_start", "left").select(
         "hour_start", "hour_label", F.coalesce("n", F.lit(0).cast("bigint")).alias("attacks"))
 

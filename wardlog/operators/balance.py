@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wardlog.operators import keyed
 from wardlog.operators.keyed import MAX_CLASSES, hash_order, lowest_by_hash, rank_cutoffs, scalar
 from wardlog.schema import TRAINING, conform
+from wardlog.session import materialize
 
 # Sources whose attack rows are dropped first, in this order.
 DROP_PRIORITY = ("Kaggle", "Synthetic", "Custom", "Russell Mitchell")
@@ -40,7 +41,7 @@ def merge_sources(sources: dict[str, DataFrame], keep: tuple[str, ...] = ()) ->
 
 
 def attack_quotas(df: DataFrame, ratio: float = TARGET_ATTACK_RATIO) -> DataFrame:
-    """Attack rows to keep per priority group (``_grp``, ``rank``), one row each.
+    """Attack rows to keep per priority group (``_grp``, ``rank``, and all its ``n``), one row each.
 
     Group 4 holds every source outside the priority list; it is cut only if it
     alone exceeds the target.
@@ -62,12 +63,12 @@ def attack_quotas(df: DataFrame, ratio: float = TARGET_ATTACK_RATIO) -> DataFram
     rows = []
     for i in range(last):
         dropped = F.least(F.col(f"n{i}"), F.greatest(need, F.lit(0)))
-        rows.append(F.struct(F.lit(i).alias("_grp"), (F.col(f"n{i}") - dropped).cast("bigint").alias("rank")))
+        rows.append(F.struct(F.lit(i).alias("_grp"), (F.col(f"n{i}") - dropped).cast("bigint").alias("rank"), F.col(f"n{i}").alias("n")))
         need = need - dropped
     rest = F.col(f"n{last}")
     kept = F.when(untouched, rest).otherwise(F.least(rest, F.col("_target")))
-    rows.append(F.struct(F.lit(last).alias("_grp"), kept.cast("bigint").alias("rank")))
-    return one.select(F.explode(F.array(*rows)).alias("_q")).select("_q._grp", "_q.rank")
+    rows.append(F.struct(F.lit(last).alias("_grp"), kept.cast("bigint").alias("rank"), rest.alias("n")))
+    return one.select(F.explode(F.array(*rows)).alias("_q")).select("_q._grp", "_q.rank", "_q.n")
 
 
 def rebalance_sources(df: DataFrame, key: str, ratio: float = TARGET_ATTACK_RATIO, seed: int = SEED) -> DataFrame:
@@ -119,7 +120,7 @@ def class_quota(df: DataFrame, label: str, size: Column) -> DataFrame:
 
 def undersample(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
     """Every class cut to the size of the smallest."""
-    quota = class_quota(df, label, F.col("n_min")).select(label, "rank")
+    quota = class_quota(df, label, F.col("n_min")).select(label, "rank", "n")
     marked = lowest_by_hash(df, [label], hash_order(F.col(key), seed), quota)
     return marked.where("_picked").select(*df.columns)
 
@@ -131,7 +132,7 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFra
     in hash order. ``copy`` numbers the repeats.
     """
     quota = class_quota(df, label, F.col("n_max") % F.col("n"))
-    marked = lowest_by_hash(df, [label], hash_order(F.col(key), seed), quota.select(label, "rank"))
+    marked = lowest_by_hash(df, [label], hash_order(F.col(key), seed), quota.select(label, "rank", "n"))
     times = quota.select(label, F.floor(F.col("n_max") / F.col("n")).alias("_times"))
     counted = marked.join(F.broadcast(times), label, "left")
     copies = F.coalesce("_times", F.lit(1)) + F.col("_picked").cast("int")
@@ -140,7 +141,7 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFra
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``is_test``: the same share of every class, rounded up."""
-    quota = class_quota(df, label, F.ceil(F.col("n") * test_share)).select(label, "rank")
+    quota = class_quota(df, label, F.ceil(F.col("n") * test_share)).select(label, "rank", "n")
     return lowest_by_hash(df, [label], hash_order(F.col(key), seed), quota, flag="is_test")
 
 
@@ -170,13 +171,15 @@ def time_split(df: DataFrame, key: str, ratio: float = 0.7, ts: str = "timestamp
     Equal timestamps are ordered by row hash; rows without a time are last. With
     an empty side there is no split: every row trains.
     """
-    stamp = F.col(ts)
+    far = F.coalesce(F.col(ts), F.lit("9999-12-31 00:00:00").cast("timestamp"))
     tie = hash_order(F.col(key), seed)
-    far = F.coalesce(stamp, F.lit("9999-12-31 00:00:00").cast("timestamp"))
-    levels = keyed.time_levels(far, tie)
-    sizes = df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(0).alias("target"), F.floor(F.col("n") * ratio).cast("bigint").alias("rank"))
-    cut = rank_cutoffs(df, [], levels, sizes)
-    bound = scalar(cut, F.max(F.struct(F.col("cut_2").alias("a"), F.col("cut_4").alias("b"))))
-    inside = (far < bound["a"]) | ((far == bound["a"]) & (tie <= bound["b"]))
+    near = keyed.bracket_counts(df.select(far.alias("_at")), [], "_at", [ratio])
+    rank = F.floor(F.col("n") * ratio).cast("bigint")
+    # The moment that holds the last training row, and how many of its rows train.
+    last = near.where((F.col("upto") >= rank) & (F.col("upto") - F.col("count") < rank)).select(
+        F.col("_at").alias("_last"), (rank - F.col("upto") + F.col("count")).alias("rank"), F.col("count").alias("n"))
+    last = materialize(last, "time-split")
+    moment = scalar(last, F.max("_last"))
+    cut = keyed.hash_cutoffs(df.where(far == moment), [], tie, last.select("rank", "n"))
+    inside = (far < moment) | ((far == moment) & (tie <= scalar(cut, F.max("cut"))))
     return df.withColumn("is_train", F.coalesce(inside, F.lit(True)))

@@ -2,7 +2,8 @@
 
 * ``attach_by_key``  maps per-key statistics back to rows.
 * ``rank_cutoffs``   finds the row at a given rank without a global sort.
-* ``exact_quantiles`` percentiles on top of it.
+* ``hash_cutoffs``   does so for hash order in one scan, as hashes are uniform.
+* ``bracket_counts`` exact ranks near given shares, bracketed by a sketch; ``exact_quantiles`` on top of it.
 * ``running_totals`` cumulative sums over a total order, in parallel.
 """
 
@@ -21,6 +22,10 @@ from wardlog.session import materialize
 HEAVY_SHARE = 1.0 / 1024
 # Sampling and splitting work per class; more classes than this is a wrong column.
 MAX_CLASSES = 10_000
+# Quantile sketches answer a rank within this fraction of the rows.
+SKETCH = 10_000
+# Standard deviations of a uniform hash's rank that a bracket spans on both sides.
+HASH_SPREADS = 8.0
 
 
 def scalar(df: DataFrame, value: Column) -> Column:
@@ -110,21 +115,46 @@ def hash_levels(order: Column) -> list[Column]:
     return [F.substring(order, 1, 4), order]
 
 
-def time_levels(ts: Column, tie: Column) -> list[Column]:
-    """Levels for time order; equal timestamps are ordered by the md5 ``tie``."""
-    return [F.date_trunc("hour", ts), F.date_trunc("second", ts), ts, *hash_levels(tie)]
+def hash_share(order: Column) -> Column:
+    """Where an md5 lies between the smallest (0) and the largest (1); never falls as the md5 grows."""
+    return F.conv(F.substring(order, 1, 13), 16, 10).cast("double") / float(2 ** 52)
+
+
+def hash_cutoffs(df: DataFrame, by: list[str], order: Column, quota: DataFrame) -> DataFrame:
+    """``by, cut``: the md5 of the ``quota.rank``-th row of each group in hash order, none where the rank is not in ``1..n``.
+
+    ``quota`` has one row per group (``by..., rank, n``), ``n`` being the size of the group (counted, if not given). Hashes are uniform, so the
+    row wanted lies within ``HASH_SPREADS`` standard deviations of ``rank / n`` (but for one case in 10**14). One scan counts
+    the rows below that bracket and the hashes inside, about ``16 * sqrt(n)`` of them, and the count settles the
+    row exactly. Repeated keys have one hash; where they spoil the bracket its end is the cut.
+    """
+    if "n" not in quota.columns:
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+        quota = quota.join(F.broadcast(sizes), by) if by else quota.withColumn("n", scalar(sizes, F.max("n")))
+    at = F.col("rank") / F.col("n")
+    slack = (HASH_SPREADS * F.sqrt(at * F.greatest(F.lit(0.0), 1 - at) * F.col("n")) + 4 * HASH_SPREADS) / F.col("n")
+    asked = quota.where("rank between 1 and n").select(*by, "rank", (at - slack).alias("_low"), (at + slack).alias("_high"))
+    keys = df.select(*by, order.alias("_h"))
+    joined = keys.join(F.broadcast(asked), by) if by else keys.crossJoin(F.broadcast(asked))  # a row for each class
+    share = hash_share(F.col("_h"))
+    inside = F.when(share >= F.col("_low"), F.col("_h"))
+    counted = (joined.where(share <= F.col("_high")).groupBy(*by, "rank", inside.alias("_in"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.max("_h").alias("_top")))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(F.col("_in").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    hit = (F.col("_upto") >= F.col("rank")) & (F.col("_upto") - F.col("_n") < F.col("rank"))
+    found = counted.withColumn("_upto", upto).groupBy(*by)
+    return found.agg(F.coalesce(F.max(F.when(hit, F.col("_top"))), F.max("_top")).alias("cut")).where("cut is not null")
 
 
 def lowest_by_hash(df: DataFrame, by: list[str], order: Column, quota: DataFrame,
                    flag: str = "_picked") -> DataFrame:
     """Flag, per group, the ``quota.rank`` rows that come first in hash order.
 
-    ``quota`` has one row per group (``by..., rank``). The rows themselves are
+    ``quota`` has one row per group (``by..., rank`` and, if known, its size ``n``). The rows themselves are
     never shuffled: they are compared with one broadcast cutoff per group.
     Row keys must be unique for the count to be exact, groups few (classes).
     """
-    cuts = rank_cutoffs(df, by, hash_levels(order), quota.withColumn("target", F.lit(0)))
-    cuts = cuts.select(*by, F.col("cut_1").alias("_cut"))
+    cuts = hash_cutoffs(df, by, order, quota).withColumnRenamed("cut", "_cut")
     if by:
         marked = df.join(F.broadcast(cuts), by, "left")
     else:
@@ -132,44 +162,50 @@ def lowest_by_hash(df: DataFrame, by: list[str], order: Column, quota: DataFrame
     return marked.withColumn(flag, F.coalesce(order <= F.col("_cut"), F.lit(False))).drop("_cut")
 
 
-def numeric_levels(df: DataFrame, value: Column, by: list[str]) -> tuple[DataFrame, list[Column]]:
-    """Order-preserving levels for doubles: 20-bit steps of the group's range."""
-    bounds = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    spread = (F.col("_hi") - F.col("_lo"))
-    step = F.when(spread > 0, F.floor((value - F.col("_lo")) / spread * F.lit(float(2 ** 40)))).otherwise(
-        F.lit(0).cast("bigint")).cast("bigint")
-    joined = df.join(F.broadcast(bounds), by)
-    return joined, [F.shiftright(step, 20), step, value]
+def bracket_counts(rows: DataFrame, by: list[str], value: str, probs: list[float]) -> DataFrame:
+    """``by, n, value, count, upto``: exact counts of the values near given shares of each group, in order.
+
+    A first scan sizes the groups and brackets each share by a quantile sketch, whose rank error is at most
+    ``1 / SKETCH`` of the rows; the brackets are four times as wide on both sides. A second scan counts the values
+    inside the brackets one by one and the rows between two brackets as a whole, under their largest value. So
+    ``upto``, the number of rows up to a value, is exact for every value inside. Groups must be few.
+    """
+    margin = 4.0 / SKETCH
+    edges = [min(1.0, max(0.0, p + m)) for p in sorted(probs) for m in (-margin, margin)]
+    sized = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"), F.percentile_approx(value, edges, SKETCH).alias("_edges"))
+    groups = materialize(sized, "rank-brackets")
+    low = [F.get("_edges", F.lit(2 * i)) for i in range(len(probs))]
+    high = [F.get("_edges", F.lit(2 * i + 1)) for i in range(len(probs))]
+    x = F.col(value)
+    inside = reduce(lambda a, b: a | b, [x.between(a, b) for a, b in zip(low, high)])
+    passed = reduce(lambda a, b: a + b, [(x > b).cast("int") for b in high])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)], F.lit(True))
+    keyed = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], "_edges")
+    joined = rows.join(F.broadcast(keyed), same) if by else rows.crossJoin(F.broadcast(keyed))
+    counted = (joined.groupBy(*by, F.when(inside, x).alias("_in"), F.when(~inside, passed).alias("_between"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.max(x).alias(value)).select(*by, value, "_n"))
+    ranked = running_totals(counted, [*by, value], {"_upto": "_n"})
+    before = F.coalesce(F.sum("_size").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) if by else F.lit(0)
+    sizes = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.col("_size").alias("n"), before.alias("_before"))
+    told = ranked.join(F.broadcast(sizes), same) if by else ranked.crossJoin(F.broadcast(sizes))
+    return told.select(*by, "n", value, F.col("_n").alias("count"), (F.col("_upto") - F.col("_before")).alias("upto"))
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: Column, probs: list[float]) -> DataFrame:
-    """Linear-interpolated percentiles per group as ``by..., prob, quantile``.
+    """Linear-interpolated percentiles per group as ``by..., prob, quantile``, in two scans.
 
     Groups must be few (metric names, models); rows per group are unlimited.
     """
     rows = df.select(*by, value.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    if not by:
-        rows, by = rows.withColumn("_one", F.lit(0)), ["_one"]
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    wanted = wanted.withColumn("_pos", (F.col("_n") - 1) * F.col("prob"))
-    targets = wanted.withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1)))).select(
-        *by,
-        F.struct("prob", "_pos", "_side").alias("target"),
-        F.when(F.col("_side") == 0, F.floor("_pos")).otherwise(F.ceil("_pos")).cast("bigint").alias("_r"),
-    ).select(*by, "target", (F.col("_r") + 1).alias("rank"))
-    ranged, levels = numeric_levels(rows, F.col("_x"), by)
-    found = rank_cutoffs(ranged, by, levels, targets)
-    last = f"cut_{len(levels) - 1}"
-    side = F.col("target").getField("_side")
-    pos = F.col("target").getField("_pos")
-    out = found.groupBy(*by, F.col("target").getField("prob").alias("prob")).agg(
-        F.max(F.when(side == 0, F.col(last))).alias("_a"),
-        F.max(F.when(side == 1, F.col(last))).alias("_b"),
-        F.max(pos - F.floor(pos)).alias("_t"))
-    return out.select(
-        *[b for b in by if b != "_one"], "prob",
-        (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("quantile"))
+    near = bracket_counts(rows, by, "_x", probs)
+    asked = near.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    asked = asked.withColumn("_pos", (F.col("n") - 1) * F.col("prob"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("upto") >= rank) & (F.col("upto") - F.col("count") < rank), F.col("_x")))
+    found = asked.groupBy(*by, "prob").agg(at(F.floor("_pos") + 1).alias("_a"), at(F.ceil("_pos") + 1).alias("_b"),
+                                           F.max(F.col("_pos") - F.floor("_pos")).alias("_t"))
+    return found.select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("quantile"))
 
 
 def running_totals(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:

@@ -128,6 +128,25 @@ def time_range_scan(spark, sf_dir):
     return bounded
 
 
+@query("pruned_time_range", views=("auth_log",), sql="""
+with b as (select max(ts) + interval 12 hours as hi from events)
+select cast(ts as date) as event_date, count(*) as docs from auth_log, b
+where event_id % 3 <> 0 and ts between hi - interval 72 hours and hi group by 1""")
+def pruned_time_range(spark, sf_dir):
+    """A look-back in the dated log table, by dataset and time; the bounds are known at run time only."""
+    path = scratch_path(spark, "dated-logs")
+    tag = F.when(F.col("event_id") % 3 == 0, "web").otherwise("ssh")
+    wr.write_logs(view(spark, sf_dir, "auth_log").select("event_id", F.col("ts").alias("timestamp"), "message", tag.alias("log_type")), path)
+    newest = view(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("timestamp"))
+    return recent_logs(spark, path, newest).groupBy("event_date").agg(F.count(F.lit(1)).alias("docs"))
+
+
+def recent_logs(spark, path, newest, hours=72):
+    start, end = rd.lookback_bounds(newest.agg(F.max("timestamp").alias("v")).scalar(), hours)
+    docs = spark.read.parquet(path).where(F.col("index_prefix") == wr.INDEX_PREFIX["ssh"])
+    return rd.time_range(docs, start, end)
+
+
 @query("lookback_bounds", sql="""
 with b as (select max(ts) + interval 12 hours as hi from events)
 select hi - interval 48 hours as start_time, hi as end_time, count(*) as docs

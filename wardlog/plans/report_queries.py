@@ -89,6 +89,16 @@ def hourly_timeline(spark, sf_dir):
     return act.hourly_timeline(rows, [rows])
 
 
+@query("hourly_first_time", views=("predictions",), ctes=TIMELINE, sql="select * from timeline")
+def hourly_first_time(spark, sf_dir):
+    """The same where the time is in one of three columns, as text, beside junk and blanks."""
+    rows = _preds(spark, sf_dir)
+    text, turn = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("event_id") % 3
+    spread = rows.select(F.when(turn == 0, text).otherwise("soon").alias("timestamp"), F.when(turn == 1, text).when(turn == 2, "").alias("Timestamp"),
+                         F.when(turn != 0, text).alias("@timestamp"), *[c for c in rows.columns if c != "timestamp"])
+    return act.hourly_timeline(spread, [spread])
+
+
 MODEL_RANK = "case ml_model when 'unified' then 1 when 'kaggle' then 2 when 'russellmitchell' then 3 when 'custom' then 4 end"
 HOURLY = BUCKETS + f""",
 base as (select *, date_trunc('hour', "timestamp") as h, {KIND} as kind, {MODEL_RANK} as mrank from predictions),
