@@ -167,3 +167,24 @@ def test_dated_logs_are_pruned_by_bounds_known_at_run_time(spark, tmp_path):
     assert found.count() == 18 + 1
     # Of 30 days and two prefixes, one prefix of the two days between the bounds is read.
     assert [scan.metrics().apply("numPartitions").value() for scan in scans] == [2]
+
+
+def test_folder_profile_of_different_tables(spark, tmp_path):
+    from wardlog.sources.profile import folder_profile
+
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.csv").write_text('timestamp,"source_ip",is_attack,note\n2024-01-01 00:00:00,1.1.1.1,true,"x, ""y"""\n'
+                                    '2024-01-02 00:00:00,1.1.1.2,false,\n\n2024-01-03 00:00:00,1.1.1.1,false,z\n')
+    (tmp_path / "deep" / "b.csv").write_text("label,n,v\r\n" + "".join(f"l{i % 12},{i},{i}.5\r\n" for i in range(30)))
+    (tmp_path / "deep" / "names.csv").write_text("label,x\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "other.txt").write_text("a,b\n1,2\n")
+    got = {r.path.rsplit("/", 1)[-1]: r for r in folder_profile(spark, str(tmp_path)).collect()}
+    assert set(got) == {"a.csv", "b.csv", "names.csv"}
+    a, b, names = got["a.csv"], got["b.csv"], got["names.csv"]
+    assert (a.rows, a.has_timestamp, a.unique_ips, a.about_ips) == (3, True, 2, 2) and a.label_counts is None
+    assert [tuple(c) for c in a.columns] == [("timestamp", "timestamp"), ("source_ip", "string"), ("is_attack", "boolean"), ("note", "string")]
+    assert [tuple(c) for c in a.attack_counts] == [("false", 2), ("true", 1)]
+    assert [tuple(c) for c in b.columns] == [("label", "string"), ("n", "bigint"), ("v", "double")] and b.rows == 30 and not b.has_timestamp
+    assert [tuple(c) for c in b.label_counts] == [(f"l{i}", 3) for i in range(6)] + [("l10", 2), ("l11", 2), ("l6", 2), ("l7", 2)]
+    assert names.rows == 0 and names.label_counts is None and names.unique_ips is None

@@ -16,6 +16,7 @@ from wardlog.plans.registry import query
 from wardlog.plans.views import BASE_YEAR, view
 from wardlog.schema import CANONICAL_EVENT, RAW_DOCUMENT, conform
 from wardlog.session import scratch_path
+from wardlog.sources import profile as pf
 from wardlog.sources import readers as rd
 from wardlog.sources import writers as wr
 
@@ -107,6 +108,30 @@ def csv_event_scan(spark, sf_dir):
     return rd.read_csv(spark, path, CANONICAL_EVENT).drop("geoip_country", "geoip_city")
 
 
+@query("folder_profile", views=("predictions",), sql="""
+select event_type as dataset, count(*) as "rows", 'event_id:bigint,timestamp:timestamp,source_ip:string,is_attack:boolean,score:double' as columns,
+  true as has_timestamp, case when event_type = 'error' then 'true' else 'false' end || ':' || count(*) as attacks, cast(null as varchar) as labels,
+  count(distinct user_id % 97) as unique_ips, true as sketch_close from events group by event_type
+union all select 'labels', count(*), 'doc_id:bigint,label:bigint', false, null,
+  (select string_agg(quality || ':' || n, ',' order by n desc, quality) from (select quality, count(*) as n from labels group by quality) q), null, null from labels""")
+def folder_profile(spark, sf_dir):
+    """Two kinds of tables in one folder: events by type, and labels."""
+    folder = scratch_path(spark, "csv-folder")
+    events = view(spark, sf_dir, "events").select(
+        "event_type", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.concat(F.lit("10.0.0."), F.col("user_id") % 97).alias("source_ip"), (F.col("event_type") == "error").alias("is_attack"),
+        (F.col("value") + 0.5).alias("score"))
+    events.repartition("event_type").write.partitionBy("event_type").csv(folder + "/events", header=True, quoteAll=True)
+    view(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).coalesce(1).write.csv(folder + "/labels", header=True)
+    found = pf.folder_profile(spark, folder)
+    joined = lambda pairs: F.array_join(F.transform(pairs, lambda p: F.concat_ws(":", *[p[k].cast("string") for k in ("value", "n")])), ",")
+    return found.select(
+        F.regexp_extract("path", r"(?:event_type=|/)(\w+)/part-", 1).alias("dataset"), "rows",
+        F.array_join(F.transform("columns", lambda c: F.concat_ws(":", c["name"], c["type"])), ",").alias("columns"), "has_timestamp",
+        joined("attack_counts").alias("attacks"), joined("label_counts").alias("labels"), "unique_ips",
+        (F.abs(F.col("about_ips") - F.col("unique_ips")) <= 0.1 * F.col("unique_ips")).alias("sketch_close"))
+
+
 @query("label_scan", views=("label_lines",), sql="""
 select line, labels_text from label_lines""")
 def label_scan(spark, sf_dir):
