@@ -134,3 +134,23 @@ def test_labels_mark_attacks(rows):
         (True, "escalation"), (True, "brute_force"), (False, ""), (False, "")]
     loose = rec.apply_labels(events, rec.attack_label_lines(labels)).where("file = 'g'").first()
     assert loose.is_attack and loose.attack_type == "escalation"
+
+
+def test_extract_reads_documents_once(spark, tmp_path):
+    from wardlog.schema import RAW_DOCUMENT, conform
+
+    def docs(*messages):
+        frame = spark.createDataFrame(list(enumerate(messages)), "doc_id bigint, message string")
+        path = str(tmp_path / f"docs-{len(messages)}")
+        conform(frame, RAW_DOCUMENT).write.parquet(path)
+        return spark.read.parquet(path)
+    both = "Jan 3 10:00:00 h sshd[1]: Failed password for x from 1.2.3.4 port 22 ssh2"
+    web = '9.9.9.9 - - [01/Jan/2024:00:00:00 +0700] "GET / HTTP/1.1" 200 5'
+    typed = rec.extract(docs(both, "plain", web + " ssh"))
+    got = sorted((r.doc_id, r.log_type, r.status) for r in typed.select("doc_id", "log_type", F.coalesce("status", F.lit("-")).alias("status")).collect())
+    assert [g[0] for g in got].count(0) == 1 and 1 not in [g[0] for g in got] and [g[0] for g in got].count(2) == 2
+    none = rec.extract(docs("plain", "words", "only", "here"))
+    assert sorted((r.doc_id, r.log_type) for r in none.collect()) == [(k, "unknown") for k in range(4)]
+    assert none.columns == typed.columns
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the documents, and the search for a first typed one

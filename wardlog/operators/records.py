@@ -154,74 +154,100 @@ def _typed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_type", document_log_type(docs))
 
 
-def ssh_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """SSH documents: stored fields win, the parsed text fills the gaps."""
+def ssh_columns(docs: DataFrame) -> dict[str, Column]:
+    """Columns of an SSH document: stored fields win, the parsed text fills the gaps."""
     message = _text("message")
     parsed = P.ssh_status(message)
-    rows = _typed(docs).where(_is_ssh())
-    return rows.select(
-        *keep, "timestamp",
-        F.coalesce(_address(docs), P.ssh_source_ip(message)).alias("source_ip"),
-        F.coalesce(blank_to_null(F.col("user")), P.ssh_user(message)).alias("user"),
-        F.coalesce(blank_to_null(F.col("status")), parsed).alias("status"),
-        message.alias("message"),
-        F.coalesce(blank_to_null(F.col("attack_type")), P.ssh_attack_type(parsed)).alias("attack_type"),
-        (F.coalesce("is_attack", F.lit(False)) | P.ssh_is_attack(parsed)).alias("is_attack"),
-        F.coalesce("geoip.country_name", F.lit("")).alias("geoip_country"),
-        F.coalesce("geoip.city_name", F.lit("")).alias("geoip_city"),
-        F.coalesce("_type", F.lit("ssh")).alias("log_type"))
-
-
-def web_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Web documents by tag, or by text when the tag says otherwise."""
+    return {
+        "timestamp": F.col("timestamp"),
+        "source_ip": F.coalesce(_address(docs), P.ssh_source_ip(message)),
+        "user": F.coalesce(blank_to_null(F.col("user")), P.ssh_user(message)),
+        "status": F.coalesce(blank_to_null(F.col("status")), parsed),
+        "message": message,
+        "attack_type": F.coalesce(blank_to_null(F.col("attack_type")), P.ssh_attack_type(parsed)),
+        "is_attack": F.coalesce("is_attack", F.lit(False)) | P.ssh_is_attack(parsed),
+        "geoip_country": F.coalesce("geoip.country_name", F.lit("")),
+        "geoip_city": F.coalesce("geoip.city_name", F.lit("")),
+        "log_type": F.coalesce("_type", F.lit("ssh"))}
+
+
+def web_columns(docs: DataFrame) -> dict[str, Column]:
+    """Columns of a web document by tag, or by text when the tag says otherwise."""
     tagged = F.coalesce(F.lower("_type").contains("web"), F.lit(False))
     client = F.coalesce(
         blank_to_null(F.col("clientip")), F.when(tagged, blank_to_null(F.col("source.ip"))), F.lit(""))
-    rows = _typed(docs).where(_is_web())
-    return rows.select(
-        *keep, "timestamp", client.alias("source_ip"), client.alias("clientip"),
-        _text("request").alias("request"), "response", F.coalesce("bytes", F.lit(0)).alias("bytes"),
-        _text("verb").alias("verb"), _text("message").alias("message"),
-        F.coalesce("is_attack", F.lit(False)).alias("is_attack"), _text("attack_type").alias("attack_type"),
-        F.when(tagged, F.coalesce("geoip.country_name", F.lit(""))).otherwise("").alias("geoip_country"),
-        F.when(tagged, F.col("_type")).otherwise("web").alias("log_type"))
+    return {
+        "timestamp": F.col("timestamp"), "source_ip": client, "clientip": client, "request": _text("request"),
+        "response": F.col("response"), "bytes": F.coalesce("bytes", F.lit(0)), "verb": _text("verb"), "message": _text("message"),
+        "is_attack": F.coalesce("is_attack", F.lit(False)), "attack_type": _text("attack_type"),
+        "geoip_country": F.when(tagged, F.coalesce("geoip.country_name", F.lit(""))).otherwise(""),
+        "log_type": F.when(tagged, F.col("_type")).otherwise("web")}
 
 
-def raw_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Every document in one generic shape; here a parsed attack type overrides."""
+def raw_columns(docs: DataFrame) -> dict[str, Column]:
+    """Columns of any document in one generic shape; here a parsed attack type overrides."""
     message = _text("message")
     ssh = _is_ssh()
     parsed = F.when(ssh, P.ssh_status(message)).otherwise("")
-    rows = _typed(docs)
+    return {
+        "timestamp": F.col("timestamp"), "message": message, "log_type": F.coalesce("_type", F.lit("unknown")),
+        "source_ip": F.coalesce(_address(docs), F.when(ssh, P.ssh_source_ip(message)), F.lit("")),
+        "clientip": _text("clientip"),
+        "user": F.coalesce(blank_to_null(F.col("user")), F.when(ssh, P.ssh_user(message)), F.lit("")),
+        "status": F.coalesce(blank_to_null(F.col("status")), parsed),
+        "request": _text("request"), "response": F.col("response"), "bytes": F.coalesce("bytes", F.lit(0)),
+        "verb": _text("verb"),
+        "is_attack": F.coalesce("is_attack", F.lit(False)) | P.ssh_is_attack(parsed),
+        "attack_type": F.coalesce(blank_to_null(P.ssh_attack_type(parsed)), _text("attack_type")),
+        "geoip_country": F.coalesce("geoip.country_name", F.lit("")),
+        "geoip_city": F.coalesce("geoip.city_name", F.lit(""))}
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
+def ssh_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """SSH documents: stored fields win, the parsed text fills the gaps."""
+    return _typed(docs).where(_is_ssh()).select(*keep, *_named(ssh_columns(docs)))
+
+
+def web_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Web documents by tag, or by text when the tag says otherwise."""
+    return _typed(docs).where(_is_web()).select(*keep, *_named(web_columns(docs)))
+
+
+def raw_records(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Every document in one generic shape; here a parsed attack type overrides."""
     extra = [F.map_filter("extra", lambda k, v: v.isNotNull()).alias("extra")] if "extra" in docs.columns else []
-    return rows.select(
-        *keep, "timestamp", message.alias("message"), F.coalesce("_type", F.lit("unknown")).alias("log_type"),
-        F.coalesce(_address(docs), F.when(ssh, P.ssh_source_ip(message)), F.lit("")).alias("source_ip"),
-        _text("clientip").alias("clientip"),
-        F.coalesce(blank_to_null(F.col("user")), F.when(ssh, P.ssh_user(message)), F.lit("")).alias("user"),
-        F.coalesce(blank_to_null(F.col("status")), parsed).alias("status"),
-        _text("request").alias("request"), "response", F.coalesce("bytes", F.lit(0)).alias("bytes"),
-        _text("verb").alias("verb"),
-        (F.coalesce("is_attack", F.lit(False)) | P.ssh_is_attack(parsed)).alias("is_attack"),
-        F.coalesce(blank_to_null(P.ssh_attack_type(parsed)), _text("attack_type")).alias("attack_type"),
-        F.coalesce("geoip.country_name", F.lit("")).alias("geoip_country"),
-        F.coalesce("geoip.city_name", F.lit("")).alias("geoip_city"), *extra)
+    return _typed(docs).select(*keep, *_named(raw_columns(docs)), *extra)
 
 
 def extract(docs: DataFrame, mode: str = "all", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Typed rows for ``ssh``, ``web`` or ``all``.
 
-    ``all`` concatenates both typed sets (a document may be in both); only when
+    ``all`` gives both typed sets (a document may be in both), each document read once; only when
     no document at all is typed does it return the generic records.
     """
     if mode == "ssh":
         return ssh_records(docs, keep)
     if mode == "web":
         return web_records(docs, keep)
-    typed = scalar(_typed(docs), F.coalesce(F.bool_or(_is_ssh() | _is_web()), F.lit(False)))
-    generic = raw_records(docs, keep).drop("extra").where(~typed)
-    both = ssh_records(docs, keep).unionByName(web_records(docs, keep), allowMissingColumns=True)
-    return both.unionByName(generic, allowMissingColumns=True)
+    hit = _is_ssh() | _is_web()
+    # Looks for a single typed document: every task stops at its first.
+    typed = scalar(_typed(docs).where(hit).select("_type").limit(1), F.count(F.lit(1)) > 0)
+    shapes = {"ssh": ssh_columns(docs), "web": web_columns(docs), "raw": raw_columns(docs)}
+    given = {"ssh": _is_ssh(), "web": _is_web(), "raw": ~hit & ~typed}
+    shaped = _typed(docs).withColumn("_shape", F.explode(F.array_compact(F.array(*[F.when(given[k], k) for k in shapes]))))
+    out = []
+    for name in dict.fromkeys(c for columns in shapes.values() for c in columns):
+        value = None
+        for shape, columns in shapes.items():
+            if name in columns:
+                fits = F.col("_shape") == shape
+                value = F.when(fits, columns[name]) if value is None else value.when(fits, columns[name])
+        out.append(value.alias(name))
+    return shaped.select(*keep, *out)
 
 
 def multiline_records(lines: DataFrame) -> DataFrame:
