@@ -180,3 +180,33 @@ def test_wanted_anchors_in_slices(spark, monkeypatch):
         ahead = bytes(data[k:min(high, k + 50)]).ljust(50, b"\0")
         behind = bytes(data[max(low, k - 26):k][::-1]).ljust(26, b"\0")
         assert bytes(found.table[m]) == ahead + behind + bytes([max(0, k + 50 - high), min(26, k - low)])
+
+
+def test_anchors_and_hashes_do_not_depend_on_slices(monkeypatch):
+    from wardlog.llm import common, repeats
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 99, 4000).astype(np.uint8)
+    for offsets in ([0, 4000], [0, 0, 49, 99, 1000, 1063, 1064, 4000, 4000]):
+        for spec in (repeats.Spec(50, 24, words=False, within=False), repeats.Spec(20, 10, words=False, within=True)):
+            symbols = repeats.read_symbols(data, np.array(offsets), spec)
+            whole, hashes = repeats.find_anchors(symbols, spec), common.gram_hashes(data, spec.gram)
+            assert (common.grams_at(data, spec.gram, whole) == hashes[whole]).all()
+            for size in (1, 64, 1000):
+                with monkeypatch.context() as m:
+                    m.setattr(repeats, "WINDOW_SLICE", size)
+                    m.setattr(common, "GRAM_SLICE", size)
+                    assert (repeats.find_anchors(symbols, spec) == whole).all()
+                    assert (common.gram_hashes(data, spec.gram) == hashes).all()
+                    assert (common.grams_at(data, spec.gram, whole) == hashes[whole]).all()
+
+
+def test_mask_of_stretches():
+    from wardlog.llm.repeats import mask_of
+    rng = np.random.default_rng(2)
+    for n, k in ((0, 0), (10, 0), (10, 1), (200, 3), (200, 30), (60, 60)):
+        starts = rng.integers(0, max(1, n - 9), k)
+        stops = starts + rng.integers(1, 10, k)
+        expected = np.zeros(n, bool)
+        for a, b in zip(starts, stops):
+            expected[a:b] = True
+        assert (mask_of(starts, stops, n) == expected).all()

@@ -104,11 +104,32 @@ def power(k: int) -> np.uint64:
     return np.uint64(pow(MULTIPLIER, k, 1 << 64))
 
 
+GRAM_SLICE = 1 << 17  # positions hashed at once: temporary arrays stay at a megabyte each
+
+
 def gram_hashes(symbols: np.ndarray, g: int) -> np.ndarray:
-    """Hash of the ``g`` symbols from every position (``len - g + 1`` values), by doubling."""
+    """Hash of the ``g`` symbols from every position (``len - g + 1`` values)."""
+    n = max(0, len(symbols) - g + 1)
+    out = np.empty(n, np.uint64)
+    for begin in range(0, n, GRAM_SLICE):
+        stop = min(n, begin + GRAM_SLICE)
+        out[begin:stop] = _gram_hashes(symbols[begin:stop + g - 1], g)
+    return out
+
+
+def grams_at(symbols: np.ndarray, g: int, at: np.ndarray) -> np.ndarray:
+    """``gram_hashes`` at some positions only, which are in order."""
+    out = np.empty(len(at), np.uint64)
+    edges = np.searchsorted(at, np.arange(0, len(symbols) + GRAM_SLICE, GRAM_SLICE))
+    for k in np.flatnonzero(np.diff(edges)):
+        a, b, begin = edges[k], edges[k + 1], int(k) * GRAM_SLICE
+        out[a:b] = _gram_hashes(symbols[begin:begin + GRAM_SLICE + g - 1], g)[at[a:b] - begin]
+    return out
+
+
+def _gram_hashes(symbols: np.ndarray, g: int) -> np.ndarray:
+    """By doubling; there are at least ``g`` symbols."""
     n = len(symbols) - g + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
     level, span, total, done = symbols.astype(np.uint64), 1, None, 0
     while True:
         if g & span:

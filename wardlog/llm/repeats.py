@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wardlog.llm.common import NULL_ID, give_back, gram_hashes, ids_column, slice_hashes, text_column, word_slices
+from wardlog.llm.common import NULL_ID, give_back, gram_hashes, grams_at, ids_column, slice_hashes, text_column, word_slices
 from wardlog.session import materialize, scratch_path
 
 BLOCK_BYTES = 4 << 20
@@ -92,13 +92,24 @@ def read_symbols(data: np.ndarray, offsets: np.ndarray, spec: Spec) -> Symbols:
     return Symbols(slice_hashes(data, starts, ends), bounds, starts, ends)
 
 
+WINDOW_SLICE = 1 << 17  # windows whose anchors are looked for at once
+
+
 def find_anchors(symbols: Symbols, spec: Spec) -> np.ndarray:
     """Positions of the least grams of all windows that lie within one document."""
-    values, bounds = symbols.values, symbols.bounds
-    if len(values) < spec.length:
-        return np.zeros(0, np.int64)
+    values, ends = symbols.values, symbols.bounds[1:]
+    windows = len(values) - spec.length + 1
+    found = [np.zeros(0, np.int64)]
+    for begin in range(0, windows, WINDOW_SLICE):
+        part = values[begin:min(begin + WINDOW_SLICE, windows) + spec.length - 1]
+        inner = ends[np.searchsorted(ends, begin, side="right"):np.searchsorted(ends, begin + len(part))]
+        found.append(begin + _anchors(part, inner - begin, spec))
+    return np.unique(np.concatenate(found))  # windows of two slices may share an anchor
+
+
+def _anchors(values: np.ndarray, ends: np.ndarray, spec: Spec) -> np.ndarray:
+    """Anchors of a slice; documents end before the positions ``ends``."""
     hashes = gram_hashes(values, spec.gram)
-    ends = bounds[1:]
     cut = (ends[:, None] - np.arange(1, spec.gram)).ravel()
     hashes[cut[(cut >= 0) & (cut < len(hashes))]] = TOP
     least = slide(np.minimum, hashes, spec.reach)
@@ -194,9 +205,7 @@ def open_block(row: dict, spec: Spec) -> Block:
 
 def gram_keys(block: Block, spec: Spec, buckets: int) -> np.ndarray:
     """Bucket and 32 further bits of each anchor's gram."""
-    if not len(block.anchors):
-        return np.zeros(0, np.uint64)
-    hashes = gram_hashes(block.symbols.values, spec.gram)[block.anchors]
+    hashes = grams_at(block.symbols.values, spec.gram, block.anchors)
     return ((hashes >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
 
 
@@ -416,9 +425,20 @@ def covered(block: Block, spec: Spec, members: np.ndarray, results: list[np.ndar
     if spec.within:
         earlier |= (result["doc"] == own) & (result["pos"] < pos)
     at, result = at[earlier], result[earlier]
-    change = np.bincount(at - result["last"].astype(np.int64), minlength=n + 1) - np.bincount(
-        at - result["first"].astype(np.int64) + spec.length, minlength=n + 1)
-    return np.cumsum(change[:n]) > 0
+    starts, stops = at - result["last"].astype(np.int64), at - result["first"].astype(np.int64) + spec.length
+    return mask_of(starts, stops, n)
+
+
+def mask_of(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` symbols lie in one of the stretches ``[start, stop)``."""
+    if not len(starts):
+        return np.zeros(n, bool)
+    order = np.argsort(starts, kind="stable")
+    starts, stops = starts[order], np.maximum.accumulate(stops[order])
+    opens = np.flatnonzero(np.concatenate([[True], starts[1:] > stops[:-1]]))
+    edges = np.column_stack([starts[opens], stops[np.concatenate([opens[1:] - 1, [len(stops) - 1]])]]).ravel()
+    sizes = np.diff(np.concatenate([[0], edges, [n]]))
+    return np.repeat(np.arange(len(sizes)) % 2 == 1, sizes)
 
 
 def with_lists(blocks: DataFrame, lists: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -503,5 +523,6 @@ def span_counts(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def totals(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return sums[bounds[1:]] - sums[bounds[:-1]]
+    sums = np.zeros(len(values) + 1, np.int32)
+    np.cumsum(values, dtype=np.int32, out=sums[1:])
+    return (sums[bounds[1:]] - sums[bounds[:-1]]).astype(np.int64)

@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from wardlog.llm.repeats import (
     BLOCK_BYTES, Block, Spec, Suffixes, answers, common_prefix, null_ids, opened, remove_repeats, resolve, runs_of, shut,
@@ -107,12 +106,12 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int,
 
 
 def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
-                      carry: list[str] | None = None) -> DataFrame:
+                      carry: list[str] | None = None, decode: bool = False) -> DataFrame:
     """``doc_id, kept`` (binary), ``n_bytes, n_removed, n_spans`` per row.
 
-    Other columns named in ``carry`` follow as ``carried_<name>``. A null text is empty; a
-    missing id counts as smaller than all others; rows with equal ids do not count as earlier than one
-    another. Texts shorter than ``length`` stay whole. No rows give no rows.
+    With ``decode``, ``kept`` is a text without the characters that a cut left in parts. Other columns named in
+    ``carry`` follow as ``carried_<name>``. A null text is empty; a missing id counts as smaller than all others;
+    rows with equal ids do not count as earlier than one another. Texts shorter than ``length`` stay whole. No rows give no rows.
     """
     spec = Spec(length, gram, words=False, within=False)
 
@@ -170,12 +169,14 @@ def remove_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
         removed = totals(mask, bounds)
         kept = block.data[~mask]
         offsets = np.concatenate([[0], np.cumsum(np.diff(bounds) - removed)]).astype(np.int32)
-        binary = pa.Array.from_buffers(pa.binary(), len(removed), [None, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
+        left = pa.Array.from_buffers(pa.binary(), len(removed), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+        if decode:
+            left = pa.array((b.as_py().decode("utf-8", "ignore") for b in left), pa.string(), size=len(left))
         return pa.RecordBatch.from_arrays([
-            null_ids(block.ids), binary, pa.array(np.diff(bounds), pa.int64()), pa.array(removed, pa.int64()),
+            null_ids(block.ids), left, pa.array(np.diff(bounds), pa.int64()), pa.array(removed, pa.int64()),
             pa.array(span_counts(mask, bounds), pa.int64())], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    schema = "doc_id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
+    schema = f"doc_id bigint, kept {'string' if decode else 'binary'}, n_bytes bigint, n_removed bigint, n_spans bigint"
     return remove_repeats(docs, spec, deal, combine, cut, schema, carry or [], block_bytes)
 
 
@@ -185,17 +186,8 @@ def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Where a cut leaves part of a character, the part goes too. ``n_chars``, if there, is counted anew.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-
-    def run(batches):
-        for batch in batches:
-            kept = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), *batch.columns[2:]], names=names)
-
-    found = remove_substrings(docs, length, carry=others).drop("n_bytes", "n_removed", "n_spans")
-    names = ["doc_id", "text", *others]
-    fields = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
-                         *[StructField(c, docs.schema[c].dataType) for c in others]])
-    out = found.mapInArrow(run, fields)
+    found = remove_substrings(docs, length, carry=others, decode=True)
+    out = found.select("doc_id", F.col("kept").alias("text"), *[F.col(f"`carried_{c}`").alias(c) for c in others])
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
