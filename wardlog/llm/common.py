@@ -22,6 +22,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 NULL_ID = -(2 ** 63)  # a document without an id, inside numpy arrays
 # Rows of a batch handed to Python: text batches stay at a few MB.
 BATCH_ROWS = 512
+# Nor does a batch of long texts, or of blocks, take more bytes than this by much.
+BATCH_BYTES = 16 << 20
 # Tables of whole texts are written in row groups of this size: every writing task holds one in memory.
 ROW_GROUP_BYTES = 16 << 20
 # Separators of words in the dealt contracts: space, tab, line feed, vertical tab, form feed, return.
@@ -33,6 +35,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) != str(BATCH_ROWS):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if spark.conf.get("parquet.block.size", None) is None:
         spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
     return spark
