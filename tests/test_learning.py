@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from wardlog.learning import forest
 from wardlog.learning.detector import Detector
 from wardlog.learning.isolation import average_path, fit_isolation_forest, grow_tree
-from wardlog.learning.oneclass import fit_one_class
+from wardlog.learning.oneclass import fit_one_class, fourier_features
 from wardlog.learning.smote import handle_imbalance, smote
 from wardlog.operators import metrics as M
 
@@ -68,6 +68,31 @@ def test_one_class_machine_ranks_outliers(planted):
     assert auc(fit_one_class(planted, COLUMNS, iterations=4).score(planted)) > 0.95
 
 
+def test_one_class_machine_meets_its_gap(planted):
+    """Against many plain steps over all rows, sorted anew each time."""
+    model = fit_one_class(planted, COLUMNS, tolerance=0.005)
+    phi = fourier_features(np.array([[r[c] for c in COLUMNS] for r in planted.collect()]), model.omega, model.phase)
+    wanted, w = 204, phi.mean(axis=0)
+    for step in range(2000):
+        lowest = phi[np.argsort(phi @ w, kind="stable")[:wanted]].mean(axis=0)
+        d = lowest - w
+        w = w + np.clip(-w @ d / (d @ d), 0, 1) * d
+    assert 0 <= model.gap <= 0.005
+    reached, least = model.weights @ model.weights, w @ w
+    assert least * (1 - 1e-6) <= reached and (reached - least) / 2 <= 0.005 * reached
+    exact, got = phi @ w, phi @ model.weights
+    assert np.corrcoef(exact, got)[0, 1] > 0.99
+    assert len(set(np.argsort(exact)[:wanted]) & set(np.argsort(got)[:wanted])) >= 0.9 * wanted
+
+
+def test_one_class_machine_of_few_rows(spark):
+    one = spark.createDataFrame([(1.0, 2.0)] * 3, "a double, b double")
+    model = fit_one_class(one, ["a", "b"])
+    phi = fourier_features(np.array([[1.0, 2.0]]), model.omega, model.phase)[0]
+    assert 0 <= model.gap <= 0.01 and np.allclose(model.weights, phi)
+    assert not fit_one_class(one.limit(0), ["a", "b"]).weights.any()
+
+
 def test_smote_evens_classes_between_neighbours(spark):
     rng = np.random.default_rng(1)
     data = [(i, float(rng.normal(0, 1)), float(rng.normal(0, 1)), False) for i in range(90)]

@@ -124,6 +124,20 @@ def test_multiline_across_blocks(spark, rows, monkeypatch):
     assert got == want
 
 
+def test_long_records_come_in_pieces(rows, monkeypatch):
+    monkeypatch.setattr(rec, "LINE_BLOCK", 8)
+    lines = [("f", n, f"x{n}") for n in range(1, 24)]  # no record starts here
+    lines += [("g", n, "Jan 1 start" if n in (3, 20) else f"y{n}") for n in range(1, 31)] + [("h", 1, None), ("h", 2, "z")]
+    got = rec.multiline_records(rows(lines, "file string, line_no long, value string"), piece_lines=5)
+    read = {(r.file, r.line_no): (r.piece, r.value) for r in got.collect()}
+    by_file = {f: sorted((n, p) for (g, n), (p, _) in read.items() if g == f) for f in "fgh"}
+    assert by_file["f"] == [(1, 0), (6, 1), (11, 2), (16, 3), (21, 4)]
+    assert by_file["g"] == [(1, 0), (3, 0), (8, 1), (13, 2), (18, 3), (20, 0), (25, 1), (30, 2)]
+    assert read["h", 1] == (0, "z")
+    for name in "fg":  # nothing is lost
+        assert "\n".join(read[name, n][1] for n, _ in by_file[name]) == "\n".join(v for f, _, v in lines if f == name)
+
+
 def test_labels_mark_attacks(rows):
     events = rows([("f", 1, False, ""), ("f", 2, True, "brute_force"), ("f", 3, False, ""), ("g", 1, False, "")],
                   "file string, line_no long, is_attack boolean, attack_type string")

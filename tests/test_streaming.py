@@ -1,5 +1,7 @@
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wardlog.learning.detector import Detector
@@ -124,6 +126,43 @@ def test_throttle_takes_a_batch_in_time_order_and_passes_missing_times(spark, ro
     assert sorted(r.detail for r in out.collect()) == ["0", "100", "50", "none"]
 
 
+def test_notices_of_a_busy_address_collapse_to_their_moments(monkeypatch):
+    monkeypatch.setattr(jobs, "MERGE_ROWS", 50)
+    sizes = []
+    merge = jobs.least_texts
+    monkeypatch.setattr(jobs, "least_texts", lambda rows, by: (sizes.append(len(rows)), merge(rows, by))[1])
+    rng = np.random.default_rng(4)
+    stamps, texts = rng.integers(0, 300, 20_000), rng.integers(0, 1000, 20_000)
+    rows = pd.DataFrame({"timestamp": pd.Timestamp(T0) + pd.to_timedelta(stamps, unit="s"), "detail": [f"{t:03}" for t in texts]})
+    got = jobs.collapse_moments(rows.iloc[i:i + 40] for i in range(0, len(rows), 40))
+    want = rows.groupby("timestamp")["detail"].min()
+    assert list(got["timestamp"]) == list(want.index) and list(got["detail"]) == list(want)
+    assert max(sizes) <= 2 * 300 + 40 and len(sizes) < 100  # never the notices, and not each batch anew
+    assert jobs.collapse_moments([]) is None
+
+
+def test_throttle_of_many_notices_in_one_batch(spark, tmp_path):
+    notices = spark.range(200_000).select(
+        F.lit("a").alias("k"), F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id"), F.lit(5000))).alias("timestamp"),
+        F.format_string("%04d", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10_000))).alias("m"))
+    out = drain(spark, jobs.throttle(feed(spark, tmp_path, "in", notices), F.col("k"), F.col("m")), tmp_path, "out")
+    least = {int(r.t): r.m for r in notices.groupBy(F.unix_seconds("timestamp").alias("t")).agg(F.min("m").alias("m")).collect()}
+    want, last = [], None
+    for t in sorted(least):
+        if last is None or t >= last + 45:
+            want.append((t, least[t]))
+            last = t
+    assert sorted((int(r.t), r.detail) for r in out.select(F.unix_seconds("timestamp").alias("t"), "detail").collect()) == want
+
+
+def test_throttle_keeps_null_keys_and_texts(spark, rows, tmp_path):
+    data = [(None, T0, "x"), (None, T0, None), ("a", T0, None), ("a", None, None), ("a", None, "u")]
+    stream = feed(spark, tmp_path, "in", rows(data, "k string, timestamp timestamp, m string"))
+    out = drain(spark, jobs.throttle(stream, F.col("k"), F.col("m")), tmp_path, "out")
+    assert sorted((str(r.key), r.timestamp is None, str(r.detail)) for r in out.collect()) == [
+        ("None", False, "x"), ("a", False, "None"), ("a", True, "None"), ("a", True, "u")]
+
+
 def test_lines_find_their_time(spark, rows):
     lines = [("2024-03-05T10:11:12Z system started", "2024-03-05 10:11:12"), ("2024-03-05 10:11:12,345 [error] x", "2024-03-05 10:11:12.345000"),
              ("1.2.3.4 - - [05/Mar/2024:17:11:12 +0700] failed", "2024-03-05 10:11:12"), ("Mar  5 10:11:12 h sshd[1]: x", "2024-03-05 10:11:12"), ("no time", "None")]

@@ -14,6 +14,8 @@ from wardlog.operators.keyed import scalar
 ATTACKER_LABEL = "attacker"
 ESCALATION_LABELS = ("escalate", "escalated_command", "escalated_sudo_command", "escalated_sudo_session")
 LINE_BLOCK = 65536
+# A record of more lines is cut into pieces.
+PIECE_LINES = 10_000
 
 
 def split_syslog(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -250,24 +252,28 @@ def extract(docs: DataFrame, mode: str = "all", keep: tuple[str, ...] = ("doc_id
     return shaped.select(*keep, *out)
 
 
-def multiline_records(lines: DataFrame) -> DataFrame:
-    """Join continuation lines to the record they follow: ``file, line_no, value``.
+def multiline_records(lines: DataFrame, piece_lines: int = PIECE_LINES) -> DataFrame:
+    """Join continuation lines to the record they follow: ``file, line_no, value, piece``.
 
-    Records are counted inside blocks of lines and shifted by the starts in the
-    file's earlier blocks, so a long file needs no single sorted task. Lines
-    before the first start form one record of their own.
+    A line belongs to the nearest start at or before it: the last one inside its block of lines, or else the
+    last of the file's earlier blocks, so a long file needs no single sorted task. Lines
+    before the first start form one record of their own. A record is cut after every ``piece_lines`` lines, counted from
+    its first: ``piece`` numbers its rows from 0 and ``line_no`` is the first line of each. So a file without any
+    start becomes many rows, and no task holds more than one piece. A null line starts no record and adds nothing.
     """
     rows = lines.select(
         "file", "line_no", "value", F.floor(F.col("line_no") / LINE_BLOCK).alias("_block"),
-        F.col("value").rlike(P.RECORD_START).cast("int").alias("_start"))
-    totals = rows.groupBy("file", "_block").agg(F.sum("_start").alias("_n"))
+        F.when(F.col("value").rlike(P.RECORD_START), F.col("line_no")).alias("_start"))
+    blocks = rows.groupBy("file", "_block").agg(F.max("_start").alias("_last"), F.min("line_no").alias("_first"))
     earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    first = F.min("_first").over(Window.partitionBy("file"))
+    carried = blocks.select("file", "_block", F.coalesce(F.max("_last").over(earlier), first).alias("_carried"))
     upto = (Window.partitionBy("file", "_block").orderBy("line_no")
             .rowsBetween(Window.unboundedPreceding, 0))
-    numbered = (rows.withColumn("_rec", F.sum("_start").over(upto)).join(shifts, ["file", "_block"])
-                .withColumn("_rec", F.col("_rec") + F.col("_shift")))
+    placed = (rows.withColumn("_in", F.max("_start").over(upto)).join(carried, ["file", "_block"])
+              .withColumn("_record", F.coalesce("_in", "_carried"))
+              .withColumn("piece", F.floor((F.col("line_no") - F.col("_record")) / piece_lines)))
     parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))
-    return (numbered.groupBy("file", "_rec").agg(parts.alias("_parts"))
+    return (placed.groupBy("file", "_record", "piece").agg(parts.alias("_parts"))
             .select("file", F.col("_parts")[0]["line_no"].alias("line_no"),
-                    F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value")))
+                    F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"), "piece"))

@@ -451,9 +451,10 @@ def rule_xss(spark, sf_dir):
 
 
 @query("multiline_records", views=("multiline_lines",), sql=r"""
-select file, min(line_no) as line_no, string_agg(value, chr(10) order by line_no) as value from (
-  select *, sum(case when regexp_matches(value, '^[A-Z][a-z]{2}\s+\d{1,2}\s') then 1 else 0 end)
-    over (partition by file order by line_no) as rec from multiline_lines) q group by file, rec""")
+select file, min(line_no) as line_no, string_agg(value, chr(10) order by line_no) as value, piece from (
+  select *, (line_no - min(line_no) over (partition by file, rec)) // 10000 as piece from (
+    select *, sum(case when regexp_matches(value, '^[A-Z][a-z]{2}\s+\d{1,2}\s') then 1 else 0 end)
+      over (partition by file order by line_no) as rec from multiline_lines) n) q group by file, rec, piece""")
 def multiline_records(spark, sf_dir):
     return rec.multiline_records(view(spark, sf_dir, "multiline_lines"))
 

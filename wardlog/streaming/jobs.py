@@ -34,6 +34,9 @@ FORGET_SECONDS = 24 * 3600.0
 # So long an alert is remembered: the same one coming again is not written.
 ALERT_TIME_TO_LIVE = "7 days"
 
+# Notices of a key waiting to be merged, at least.
+MERGE_ROWS = 20_000
+
 NOTICE = "key string, timestamp timestamp, detail string"
 
 
@@ -141,6 +144,39 @@ def admitted(moments: np.ndarray, quiet: float, last: float | None) -> tuple[np.
     return np.array(shown, dtype=int), last
 
 
+def seconds_of(timestamps: pd.Series) -> np.ndarray:
+    return timestamps.to_numpy().astype("datetime64[us]").astype(np.int64) / 1e6
+
+
+def least_texts(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    """One row per key ``by``, in order: of notices of the same moment only the least text can be shown."""
+    return rows.sort_values([*by, "detail"], kind="stable").drop_duplicates(by)
+
+
+def collapse_moments(batches: Iterable[pd.DataFrame]) -> pd.DataFrame | None:
+    """The distinct moments of a key's notices in time order, each with its least text; None without notices.
+
+    Notices are merged once as many wait as there are moments, so memory follows the moments and not the notices,
+    and each notice is sorted a few times only.
+    """
+    kept, waiting, n = None, [], 0
+    for batch in batches:
+        waiting.append(batch)
+        n += len(batch)
+        if n >= max(MERGE_ROWS, 0 if kept is None else len(kept)):
+            kept, waiting, n = least_texts(pd.concat([*([] if kept is None else [kept]), *waiting]), ["timestamp"]), [], 0
+    if waiting:
+        kept = least_texts(pd.concat([*([] if kept is None else [kept]), *waiting]), ["timestamp"])
+    return kept
+
+
+def combine_notices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side step of ``throttle``: equal moments of a key collapse within an Arrow batch; those without a time stay."""
+    for batch in batches:
+        timed = batch["timestamp"].notna()
+        yield pd.concat([least_texts(batch[timed], ["key", "timestamp"]), batch[~timed]])
+
+
 def throttle(notices: DataFrame, key: Column, detail: Column, quiet_seconds: float = QUIET_SECONDS,
              forget_seconds: float = FORGET_SECONDS, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Notices of a key at least ``quiet_seconds`` after the last one shown.
@@ -148,7 +184,11 @@ def throttle(notices: DataFrame, key: Column, detail: Column, quiet_seconds: flo
     The notices of a micro-batch are taken in time order (ties by text); one that comes too
     soon, or is older than the last one shown, is dropped. Notices without a time cannot be spaced and are
     always shown. The state is one number per key and is forgotten once the watermark is
-    ``forget_seconds`` past it; rows later than ``delay`` still count.
+    ``forget_seconds`` past it, by an event-time timer; rows later than ``delay`` still count.
+
+    Equal moments collapse before the shuffle and again as they arrive, and notices too soon after the last one
+    shown are dropped unread. So a key holds its distinct moments of one micro-batch, however many
+    notices it has: log times are whole seconds, 86,400 a day.
     """
     wait = int(1000 * max(quiet_seconds, forget_seconds))
 
@@ -157,20 +197,31 @@ def throttle(notices: DataFrame, key: Column, detail: Column, quiet_seconds: flo
             state.remove()
             return
         last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches))[["timestamp", "detail"]]
-        timed = rows[rows["timestamp"].notna()].sort_values(["timestamp", "detail"], kind="stable")
-        moments = timed["timestamp"].to_numpy().astype("datetime64[us]").astype(np.int64) / 1e6
-        places, last = admitted(moments, quiet_seconds, last)
-        shown = pd.concat([timed.iloc[places], rows[rows["timestamp"].isna()]])
-        shown.insert(0, "key", group[0])
+        untimed: list[pd.DataFrame] = []
+
+        def due() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = batch[["timestamp", "detail"]]
+                timed = rows["timestamp"].notna()
+                if not timed.all():
+                    untimed.append(rows[~timed])
+                rows = rows[timed]
+                yield rows if last is None else rows[seconds_of(rows["timestamp"]) >= last + quiet_seconds]
+
+        moments = collapse_moments(due())
+        shown = list(untimed)
+        if moments is not None:
+            places, last = admitted(seconds_of(moments["timestamp"]), quiet_seconds, last)
+            shown.append(moments.iloc[places])
         if last is not None:
             state.update((last,))
             state.setTimeoutTimestamp(max(int(1000 * last) + wait, state.getCurrentWatermarkMs() + 1))
-        yield shown
+        for rows in shown:
+            yield rows.assign(key=group[0])[["key", "timestamp", "detail"]]
 
-    shaped = notices.select(key.cast("string").alias("key"), "timestamp", detail.cast("string").alias("detail")).withWatermark(
-        "timestamp", delay)
-    return shaped.groupBy("key").applyInPandasWithState(
+    shaped = notices.select(key.cast("string").alias("key"), "timestamp", detail.cast("string").alias("detail"))
+    combined = shaped.mapInPandas(combine_notices, NOTICE).withWatermark("timestamp", delay)
+    return combined.groupBy("key").applyInPandasWithState(
         admit, NOTICE, "last double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
