@@ -36,7 +36,11 @@ class Evaluation:
 
 @dataclass
 class Detector:
-    """A detector of one of ``MODEL_TYPES``."""
+    """A detector of one of ``MODEL_TYPES``.
+
+    ``unseen`` says how rows with a value that the training rows did not have are coded: by the next free code, or all
+    rows anew (``refit``).
+    """
 
     model_type: str = "isolation_forest"
     features: list[str] = field(default_factory=list)
@@ -44,6 +48,7 @@ class Detector:
     scaler: dict[str, tuple[float, float]] = field(default_factory=dict)
     threshold: float | None = None
     model: PipelineModel | IsolationForestModel | OneClassModel | None = None
+    unseen: str = "next"
 
     def __post_init__(self) -> None:
         if self.model_type not in MODEL_TYPES:
@@ -58,7 +63,7 @@ class Detector:
                 self.codes[column] = materialize(ft.label_codes(texts, column), f"codes-{column}")
 
     def _matrix(self, df: DataFrame) -> DataFrame:
-        return ft.align_features(ft.prepare_features(df, self.codes), self.features)
+        return ft.align_features(ft.prepare_features(df, self.codes, self.unseen), self.features)
 
     def _fit_scaler(self, df: DataFrame) -> None:
         row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in self.features],
@@ -178,7 +183,7 @@ class Detector:
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the bundle: model, encodings and a JSON state document."""
         state = {"model_type": self.model_type, "features": self.features, "scaler": self.scaler,
-                 "threshold": self.threshold, "codes": sorted(self.codes)}
+                 "threshold": self.threshold, "codes": sorted(self.codes), "unseen": self.unseen}
         if isinstance(self.model, PipelineModel):
             self.model.write().overwrite().save(f"{path}/model")
         elif isinstance(self.model, IsolationForestModel):
@@ -193,7 +198,7 @@ class Detector:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Detector:
         state = json.loads(spark.read.text(f"{path}/state").first()["value"])
-        detector = cls(state["model_type"], state["features"], threshold=state["threshold"],
+        detector = cls(state["model_type"], state["features"], threshold=state["threshold"], unseen=state.get("unseen", "next"),
                        scaler={c: tuple(v) for c, v in state["scaler"].items()})
         detector.codes = {c: spark.read.parquet(f"{path}/codes/{c}") for c in state["codes"]}
         if detector.model_type == "random_forest":

@@ -145,15 +145,19 @@ def tag_model(predictions: dict[str, DataFrame]) -> DataFrame:
 
 
 def hourly_attack_table(predictions: DataFrame, anchor: Column | None = None,
-                        events: DataFrame | None = None) -> DataFrame:
+                        events: DataFrame | None = None, zone: str | None = None) -> DataFrame:
     """Per hour: alerts, attacks, top address, top type, mean score, top model.
 
+    ``zone`` shows the hours of that zone; ``anchor`` is then its wall clock, too.
+
     One pass: each row contributes to its hour and to its address, type and
     model of that hour; partial aggregation shrinks all four before the shuffle.
     """
-    at = _anchor(events if events is not None else predictions, anchor)
+    clock = lambda ts: F.from_utc_timestamp(ts, zone) if zone else ts
+    at = anchor if anchor is not None else clock(_anchor(events if events is not None else predictions, None))
     last = F.date_trunc("hour", at)
-    hour = F.date_trunc("hour", "timestamp")
+    wall = clock(F.col("timestamp"))
+    hour = F.date_trunc("hour", wall)
     attack = any_flag(F.col("is_attack"))
     kind = F.coalesce(nonblank("attack_type"), F.lit("unknown"))
     # The priority number breaks ties; a model outside the list does not compete.
@@ -165,8 +169,12 @@ def hourly_attack_table(predictions: DataFrame, anchor: Column | None = None,
         F.array(part("all", F.lit(""))),
         F.when(attack, F.array(part("ip", nonblank("source_ip")), part("type", kind), part("model", rank)))
         .otherwise(F.array().cast("array<struct<kind:string,value:string>>")))
-    ts = F.col("timestamp")
-    rows = (predictions.where((ts >= last - F.expr("INTERVAL 23 HOURS")) & (ts < last + F.expr("INTERVAL 1 HOUR")))
+    first, end = last - F.expr("INTERVAL 23 HOURS"), last + F.expr(HOUR)
+    near = predictions
+    if zone:  # bounds on the bare column reach the scan; clocks go back by less than three hours
+        ts, slack = F.col("timestamp"), F.expr("INTERVAL 3 HOURS")
+        near = near.where((ts >= F.to_utc_timestamp(first, zone) - slack) & (ts < F.to_utc_timestamp(end, zone) + slack))
+    rows = (near.where((wall >= first) & (wall < end))
             .select(hour.alias("hour_start"), attack.alias("attack"), score.alias("score"), F.explode(parts).alias("p")))
     counted = rows.groupBy("hour_start", "p.kind", "p.value").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("attack").alias("attacks"),

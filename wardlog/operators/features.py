@@ -196,12 +196,19 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     return coded.select(column, (F.col("_rank") - 1).alias("code"), "n")
 
 
-def label_encode(df: DataFrame, column: str, codes: DataFrame | None = None, known: bool = False) -> DataFrame:
+def label_encode(df: DataFrame, column: str, codes: DataFrame | None = None, known: bool = False,
+                 unseen: str = "next") -> DataFrame:
     """Add ``<column>_encoded``. Values missing from ``codes`` get the next free code.
 
-    ``known`` says that ``codes`` were fitted on these rows, so none is missing.
+    With ``unseen="refit"`` one missing value makes all rows be coded anew by the values at hand; the distinct values
+    are looked at while building. ``known`` says that ``codes`` were fitted on these rows, so none is missing.
     """
+    if unseen not in ("next", "refit"):
+        raise ValueError("unseen must be next or refit")
     filled = df.withColumn(column, F.coalesce(F.col(column), F.lit("unknown")))
+    if codes is not None and not known and unseen == "refit":
+        if not filled.select(column).distinct().join(codes, column, "left_anti").isEmpty():
+            codes, known = label_codes(df, column), True
     fitted = codes if codes is not None else label_codes(df, column)
     rows = attach_by_key(filled, fitted, [column], ["code"], "n")
     if codes is not None and not known:
@@ -215,11 +222,11 @@ def model_columns(df: DataFrame) -> list[str]:
     return [c for c in order if has(df, c)]
 
 
-def prepare_features(df: DataFrame, codes: dict[str, DataFrame] | None = None) -> DataFrame:
+def prepare_features(df: DataFrame, codes: dict[str, DataFrame] | None = None, unseen: str = "next") -> DataFrame:
     """Columns a model reads, missing values as 0. Per-address counts are
     relative to the rows given, as in batch scoring.
 
-    ``codes`` reuses fitted encodings by column.
+    ``codes`` reuses fitted encodings by column; ``unseen`` says how values missing there are coded (see ``label_encode``).
     """
     rows = df
     if has(rows, "timestamp"):
@@ -243,7 +250,7 @@ def prepare_features(df: DataFrame, codes: dict[str, DataFrame] | None = None) -
                 fitted = label_codes(df.select(F.col(column).cast("string")), column)
                 rows = label_encode(text, column, fitted, known=True)
             else:
-                rows = label_encode(text, column, fitted)
+                rows = label_encode(text, column, fitted, unseen=unseen)
     names = model_columns(rows)
     return rows.fillna(0, names)
 

@@ -1,5 +1,5 @@
 """Model queries. Their results depend on the learner, so they have no SQL twin
-except where the surrounding arithmetic does."""
+except where only the rows of each class are counted."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from wardlog.learning.smote import smote
 from wardlog.operators import balance as bal
 from wardlog.operators import features as ft
 from wardlog.operators import metrics as M
-from wardlog.plans.parse_queries import ssh_events
+from wardlog.plans.parse_queries import PARSED, ssh_events
 from wardlog.plans.registry import query
 from wardlog.plans.report_queries import _sources
 from wardlog.session import materialize
@@ -25,7 +25,10 @@ def _features(spark, sf_dir):
     return materialize(rows.select("event_id", "is_attack", *ft.model_columns(rows)), "model-features")
 
 
-@query("smote")
+@query("smote", views=("auth_log",), ctes=PARSED, sql="""
+with c as (select count(*) filter (where is_attack) as hits, count(*) filter (where not is_attack) as others from ssh)
+select true as is_attack, false as synthetic, hits as n from c union all select false, false, others from c
+union all select hits < others, true, abs(hits - others) from c""")
 def smote_query(spark, sf_dir):
     rows = _features(spark, sf_dir)
     return smote(rows, ft.model_columns(rows), "is_attack", "event_id").groupBy("is_attack", "synthetic").agg(

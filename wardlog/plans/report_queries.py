@@ -296,6 +296,11 @@ def incident_report(spark, sf_dir):
     top = materialize(_top3(spark, sf_dir), "top-alerts")
     report = rsp.incident_report(rows, rsp.defense_checklist(top, _checklist_order()), top.withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")), "alerts", "unified", "ml-alerts-x", F.current_timestamp())
+    return shown_report(report)
+
+
+def shown_report(report):
+    """The report with its lists as text."""
     shown = F.transform("top_alerts", lambda a: F.concat_ws(
         " ", a["timestamp"], a["source_ip"], a["attack_type"], a["ml_model"], F.format_string("%.4f", a["ml_anomaly_score"]),
         a["ml_label"], a["rule_label"], a["defense_recommendations"]))
