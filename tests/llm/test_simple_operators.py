@@ -1,8 +1,11 @@
 """Licences, packing, SimHash and sharding against brute force and contracts."""
 
 import collections
+import hashlib
 import random
+import textwrap
 import zlib
+from pathlib import Path
 
 import duckdb
 import public_tokenizers
@@ -187,6 +190,35 @@ def test_license_forms_and_lines(spark):
                    ("4", None, "", 0), ("None", "CC-BY-NC-4.0", "CC-BY-NC-4.0", 1)]
 
 
+MIT_GRANT = licenses.KNOWN[5][1].replace("\n", " ")
+PUBLISHED = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+             "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+def test_licence_files_as_published(spark):
+    """With title and copyright lines, wrapped anywhere; where the system has whole licence files, those too."""
+    want = {}
+    for title in ("MIT License", "The MIT License (MIT)", "The MIT License", ""):
+        for width in (50, 62, 78, 1000):
+            text = f"{title}\n\nCopyright (c) 2020 Some Body and others\nAll rights reserved.\n\n{textwrap.fill(MIT_GRANT, width)}\n"
+            want[text] = "MIT"
+            want[text.replace("without restriction", "with restrictions")] = None
+    for name, licence in PUBLISHED.items():
+        path = Path("/usr/share/common-licenses") / name
+        if path.exists():
+            want[path.read_text()] = licence
+    listed = list(want)
+    docs = spark.createDataFrame(list(enumerate(listed)), "doc_id bigint, text string")
+    got = {listed[r.doc_id]: r.license_id for r in licenses.scan(docs, licenses.catalogue(spark)).collect()}
+    assert {t[:80]: v for t, v in got.items() if v != want[t]} == {} and len(got) == len(want)
+
+
+def test_known_digests_stand_for_texts(spark):
+    known = spark.createDataFrame([("own", None, hashlib.sha256(b"my terms").hexdigest()), ("other", "Those terms.", None)], licenses.CATALOGUE)
+    docs = spark.createDataFrame([(1, "MY TERMS"), (2, "those terms"), (3, "")], "doc_id bigint, text string")
+    assert {r.doc_id: r.license_id for r in licenses.scan(docs, known).collect()} == {1: "own", 2: "other", 3: None}
+
+
 @pytest.mark.parametrize("frame", [awkward, empty])
 def test_awkward_input_has_one_result_per_row(spark, frame):
     docs = frame(spark)
