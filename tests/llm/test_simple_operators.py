@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import textwrap
 import zlib
@@ -195,6 +196,23 @@ PUBLISHED = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-
              "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
 
 
+def test_few_links_are_cut_against_the_best_of_all_splits(spark):
+    """Paths and rings of linked nodes on two shards: the least cut of an even split is found by trying all."""
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in (0, 1, 2, 4, 5, 6)] + [(8, 9), (9, 10), (10, 8), (11, 12), (12, 13), (13, 11)]
+    nodes = 14
+    least = min(sum((a in side) != (b in side) for a, b in edges) for side in map(set, itertools.combinations(range(nodes), nodes // 2)))
+    chance = sum(sum((a in side) != (b in side) for a, b in edges) for side in (set(rng.sample(range(nodes), nodes // 2)) for _ in range(500))) / 500
+    # Many copies of the graph, so that quotas of a few nodes do not decide.
+    copies = 50
+    rows = spark.range(nodes * copies).withColumnRenamed("id", "node")
+    members = spark.createDataFrame([(c * nodes + n, c * 1000 + h) for c in range(copies) for h, e in enumerate(edges) for n in e], "node bigint, hub bigint")
+    got = {r.node: r.shard for r in sharding.balanced_shards(rows, members, 2).collect()}
+    assert collections.Counter(got.values()) == {0: nodes * copies // 2, 1: nodes * copies // 2}
+    cut = sum(got[c * nodes + a] != got[c * nodes + b] for c in range(copies) for a, b in edges)
+    assert least * copies <= cut <= 0.5 * chance * copies
+
+
 def test_licence_files_as_published(spark):
     """With title and copyright lines, wrapped anywhere; where the system has whole licence files, those too."""
     want = {}

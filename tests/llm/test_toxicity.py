@@ -1,5 +1,8 @@
 """Deobfuscation on known disguises and accuracy on held-out labels."""
 
+import itertools
+import math
+
 import duckdb
 import numpy as np
 import pytest
@@ -45,6 +48,29 @@ def test_disguises_are_restored(model, disguised, plain):
     assert toxicity.restore(disguised, model) == plain
 
 
+def path_value(model, pieces):
+    """Log probability and channel cost of one path through a lattice, letter by letter."""
+    a = b = 0
+    total = 0.0
+    for piece, cost in pieces:
+        total -= cost
+        for ch in piece:
+            code = ord(ch) if ch != " " else 0
+            total += model.log_probability(a, b, code)
+            a, b = b, code
+    return total + model.log_probability(a, b, 0)
+
+
+@pytest.mark.parametrize("word", ["1d10t", "st*pid", "l0$er", "i.d.i.o.t", "stuuupid", "m 0 r 0 n", "iiddiioott", "!|+€$", "6r41n", "1*1*1", "f00l!sh", "a", "日1本"])
+def test_decoding_finds_the_best_of_all_paths(model, word):
+    values = {}
+    for pieces in itertools.product(*toxicity.lattice(word)):
+        text = "".join(p for p, _ in pieces)
+        values[text] = max(values.get(text, -math.inf), path_value(model, pieces))
+    found = toxicity.viterbi(word, model)
+    assert values[found] == pytest.approx(max(values.values()), abs=1e-9)
+
+
 def test_spaced_letters_are_joined(model):
     assert toxicity.Reader(model)("you i d i o t now")["idiot"] == 1
 

@@ -4,7 +4,9 @@ Links are hyperedges: rows ``(node, hub)`` say which nodes belong together (equa
 hub; an ordinary edge is a hub of two). In every round the members of a hub are counted per
 shard, every node adds up the votes of its hubs, and asks to move to the fullest of its
 neighbours' shards that still has room; ties fall to the shard a hash of the hub prefers, so
-two halves of a group do not swap places. A shard accepts as many movers as it has room for.
+two halves of a group do not swap places. A shard accepts as many movers as it has room for,
+the places of those that leave it in the same round included. Once nobody asks for a shard with room, full shards
+are open, too, and exchange nodes.
 Nodes without links wait, and fill the shards up to exactly even counts at the end.
 
 Column expressions and joins only. Votes are pre-aggregated to one row per hub, so a hub that
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlog.llm.common import slots
+from wardlog.operators.keyed import HEAVY_SHARE
 from wardlog.session import materialize
 
 SHARDS = 16
@@ -30,6 +33,24 @@ def unit(*keys: Column | str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def acceptance(room: list[int], wishes: dict[tuple[int, int], int]) -> list[float]:
+    """Share of the movers into each shard that can be accepted; ``wishes`` counts them by ``(from, to)``.
+
+    Whoever leaves makes room, so the shares depend on one another: from all accepted downwards until no shard grows beyond its room, and none that is too full
+    grows at all.
+    """
+    shards = range(len(room))
+    asked = [sum(n for (_, to), n in wishes.items() if to == s) for s in shards]
+    share = [1.0] * len(room)
+    for _ in range(1000):
+        leaves = [sum(share[to] * n for (at, to), n in wishes.items() if at == s) for s in shards]
+        lower = [min(share[s], (max(0, room[s]) + leaves[s]) / asked[s]) if asked[s] else 0.0 for s in shards]
+        if max(abs(a - b) for a, b in zip(share, lower)) < 1e-6:
+            break
+        share = lower
+    return lower
+
+
 def propagate(members: DataFrame, labels: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> DataFrame:
     """Labels ``node, shard`` after propagation; ``capacity`` nodes at most are meant for a shard.
 
@@ -38,6 +59,7 @@ def propagate(members: DataFrame, labels: DataFrame, shards: int, capacity: int,
     """
     capacity -= round(2 * capacity ** 0.5)
     labels = materialize(labels, "labels")
+    exchange = False
     for turn in range(rounds):
         load = {r.shard: r.n for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         room = [capacity - load.get(s, 0) for s in range(shards)]
@@ -47,14 +69,18 @@ def propagate(members: DataFrame, labels: DataFrame, shards: int, capacity: int,
             F.first("shard").alias("shard"), F.min("hub").alias("hub"), *[F.sum(f"v{s}").alias(f"v{s}") for s in range(shards)])
         choices = F.array(*[F.struct(F.col(f"v{s}").alias("votes"), unit(F.lit(s), "hub").alias("tie"), F.lit(s).alias("to"))
                             for s in range(shards)])
-        # Only shards with room, and the own one, can be chosen.
-        is_open = F.array(*[F.lit(r > 0) for r in room])
+        # Only shards with room, and the own one, can be chosen, until that leads no further.
+        is_open = F.array(*[F.lit(exchange or r > 0) for r in room])
         best = F.array_max(F.filter(choices, lambda c: (c["to"] == F.col("shard")) | F.get(is_open, c["to"])))
         wishes = materialize(heard.select("node", "shard", best.getField("to").alias("to")), "wishes")
-        asked = {r.to: r.n for r in wishes.where("shard <> to").groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}
+        flows = wishes.where("shard <> to").groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n"))
+        asked = {(r.shard, r.to): r.n for r in flows.collect()}  # no more than shards * shards
         if not asked:
-            break
-        share = F.array(*[F.lit(min(1.0, max(0, room[s]) / asked[s]) if asked.get(s) else 0.0) for s in range(shards)])
+            if exchange:
+                break
+            exchange = True
+            continue
+        share = F.array(*[F.lit(a) for a in acceptance(room, asked)])
         moves = unit("node", F.lit(turn)) < F.get(share, F.col("to"))
         labels = materialize(wishes.select("node", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")), "labels")
     return labels
@@ -107,8 +133,13 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
                        F.crc32(text).alias("text_crc32"), F.unhex(F.md5(text)).alias("digest"))
     rows = materialize(rows.withColumn("node", F.monotonically_increasing_id()), "shard-rows")
-    groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = rows.join(groups, "digest", "left_semi").select("node", F.xxhash64("digest").alias("hub"))
+    counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = materialize(counts, "text-groups")
+    # No more than 1 / HEAVY_SHARE groups are heavy: those travel to the rows, the rows of others meet theirs in a join.
+    heavy = groups.where(F.col("n") >= groups.select(F.sum("n")).scalar() * F.lit(HEAVY_SHARE)).select("digest", F.lit(True).alias("is_heavy"))
+    marked = rows.select("node", "digest").join(F.broadcast(heavy), "digest", "left")
+    light = marked.where("is_heavy is null").join(groups, "digest", "left_semi")
+    members = marked.where("is_heavy").unionByName(light).select("node", F.xxhash64("digest").alias("hub"))
     placed = balanced_shards(rows, members, shards, rounds)
     return rows.join(placed, "node").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
