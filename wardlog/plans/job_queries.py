@@ -14,7 +14,6 @@ from wardlog.operators import metrics as M
 from wardlog.operators import respond as rsp
 from wardlog.plans import pipeline
 from wardlog.plans.feature_queries import FEATURES
-from wardlog.plans.model_queries import DEPTH, TREES
 from wardlog.plans.parse_queries import PARSED, _line_files, ssh_events
 from wardlog.plans.registry import query
 from wardlog.plans.report_queries import CELLS, HOURLY, PRIORITY, REPORT_SQL, _preds, _top3, _checklist_order, shown_report
@@ -82,7 +81,7 @@ def model_round_trip(spark, sf_dir):
     result = None
     for kind in ("isolation_forest", "one_class_svm", "random_forest"):
         detector, path = Detector(kind), scratch_path(spark, "model")
-        detector.train(events, "event_id", use_cv=False, **({"trees": TREES, "depth": DEPTH} if kind == "random_forest" else {}))
+        detector.train(events, "event_id", use_cv=False)
         detector.save(spark, path)
 
         def told(d: Detector, suffix: str) -> DataFrame:

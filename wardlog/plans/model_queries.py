@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from wardlog.learning import forest
 from wardlog.learning.detector import Detector
 from wardlog.learning.smote import smote
-from wardlog.operators import balance as bal
 from wardlog.operators import features as ft
 from wardlog.operators import metrics as M
+from wardlog.plans import pipeline
 from wardlog.plans.parse_queries import PARSED, ssh_events
 from wardlog.plans.registry import query
 from wardlog.plans.report_queries import _sources
-from wardlog.session import materialize
-
-TREES, DEPTH = 20, 8
+from wardlog.session import materialize, scratch_path
 
 
 def _features(spark, sf_dir):
@@ -38,21 +36,21 @@ def smote_query(spark, sf_dir):
 @query("rf_train_score")
 def rf_train_score(spark, sf_dir):
     detector = Detector("random_forest")
-    result = detector.train(ssh_events(spark, sf_dir), "event_id", use_cv=False, trees=TREES, depth=DEPTH)
+    result = detector.train(ssh_events(spark, sf_dir), "event_id", use_cv=False)
     return result.metrics.withColumn("confusion_matrix", F.to_json("confusion_matrix"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     rows = _features(spark, sf_dir)
-    model = forest.train_forest(rows, ft.model_columns(rows), "is_attack", TREES, DEPTH)
+    model = forest.train_forest(rows, ft.model_columns(rows), "is_attack")
     return forest.feature_importance(model, rows)
 
 
 @query("cross_validation")
 def cross_validation(spark, sf_dir):
     rows = _features(spark, sf_dir)
-    return forest.cross_validate(rows, ft.model_columns(rows), "is_attack", "event_id", folds=3, trees=5, depth=5)
+    return forest.cross_validate(rows, ft.model_columns(rows), "is_attack", "event_id")
 
 
 @query("grid_search")
@@ -87,8 +85,7 @@ def holdout_unsupervised(spark, sf_dir):
 
 @query("train_unified")
 def train_unified(spark, sf_dir):
-    merged = bal.unified_training(_sources(spark, sf_dir), "event_id", ratio=0.3, ordered=False)
-    usable = materialize(ft.drop_unusable(ft.dedup_rows(merged)), "unified")
-    detector = Detector("random_forest")
-    result = detector.train(usable, "event_id", use_cv=False, handle_imbalance=True, trees=TREES, depth=DEPTH)
+    """The job itself: sources merged, rebalanced and cleaned, the forest trained, saved and measured."""
+    result = pipeline.train_unified(spark, _sources(spark, sf_dir), scratch_path(spark, "unified-model"),
+                                    scratch_path(spark, "unified-metrics"), ratio=0.3, use_cv=False)
     return result.report
