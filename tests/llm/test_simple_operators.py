@@ -213,6 +213,14 @@ def test_few_links_are_cut_against_the_best_of_all_splits(spark):
     assert least * copies <= cut <= 0.5 * chance * copies
 
 
+@pytest.mark.parametrize("room, wishes, want", [
+    ([0, 0], {(0, 1): 10, (1, 0): 5}, [1.0, 0.5]), ([3, 0], {(1, 0): 6}, [0.5, 0.0]), ([-4, 0], {(1, 0): 6}, [0.0, 0.0]),
+    ([0, 0, 0], {(0, 1): 4, (1, 2): 4, (2, 0): 4}, [1.0, 1.0, 1.0]), ([0, 2, 0], {(0, 1): 4, (2, 0): 9}, [2 / 9, 0.5, 0.0]),
+])
+def test_shards_accept_what_room_and_leavers_allow(room, wishes, want):
+    assert sharding.acceptance(room, wishes) == pytest.approx(want, abs=1e-3)
+
+
 def test_licence_files_as_published(spark):
     """With title and copyright lines, wrapped anywhere; where the system has whole licence files, those too."""
     want = {}
