@@ -1,8 +1,11 @@
 import datetime as dt
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import ORACLES
 from wardlog.functions import parsing as P
 from wardlog.functions import values as V
 from wardlog.operators import records as rec
@@ -138,6 +141,31 @@ def test_long_records_come_in_pieces(rows, monkeypatch):
         assert "\n".join(read[name, n][1] for n, _ in by_file[name]) == "\n".join(v for f, _, v in lines if f == name)
 
 
+def test_records_are_whole_however_long(spark, monkeypatch):
+    monkeypatch.setattr(rec, "LINE_BLOCK", 4096)
+    starts = (12_000, 12_001, 12_500, 38_000)  # the longest record has 25,500 lines in seven blocks
+    lines = [("f", n, None if n % 977 == 0 else f"Feb {n % 28 + 1} start" if n in starts else f"x{n}") for n in range(1, 40_001)]
+    lines += [("g", n, f"y{n}") for n in range(1, 11_001)] + [("h", 1, None), ("h", 2, None)]
+    lines += [("i", 1, "Mar 1 a")] + [("i", n, None) for n in range(2, 9_000)] + [("i", 9_000, "z")]
+    frame = pd.DataFrame(lines, columns=["file", "line_no", "value"])
+    df = spark.createDataFrame(lines, "file string, line_no long, value string").repartition(7)
+    records = rec.multiline_records(df)
+    assert records.columns == ["file", "line_no", "value"]
+    got = {(r.file, r.line_no): r.value for r in records.collect()}
+    want = {}
+    for file, n, value in lines:
+        if (value or "").startswith("Feb") or (file, n) in [("g", 1), ("h", 1), ("i", 1), ("f", 1)]:
+            key = (file, n)
+        want.setdefault(key, []).append(value)
+    want = {k: "\n".join(v for v in values if v is not None) or None for k, values in want.items()}
+    assert len(want) == 8 and got == want
+    sql = ORACLES["multiline_records"]
+    con = duckdb.connect()
+    con.register("multiline_lines", frame)
+    twin = con.execute(sql[sql.rindex("select file, min(line_no)"):]).fetchall()
+    assert len(twin) == 8 and {(f, n): v for f, n, v in twin} == want
+
+
 def test_labels_mark_attacks(rows):
     events = rows([("f", 1, False, ""), ("f", 2, True, "brute_force"), ("f", 3, False, ""), ("g", 1, False, "")],
                   "file string, line_no long, is_attack boolean, attack_type string")

@@ -14,8 +14,6 @@ from wardlog.operators.keyed import scalar
 ATTACKER_LABEL = "attacker"
 ESCALATION_LABELS = ("escalate", "escalated_command", "escalated_sudo_command", "escalated_sudo_session")
 LINE_BLOCK = 65536
-# A record of more lines is cut into pieces.
-PIECE_LINES = 10_000
 
 
 def split_syslog(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -252,28 +250,46 @@ def extract(docs: DataFrame, mode: str = "all", keep: tuple[str, ...] = ("doc_id
     return shaped.select(*keep, *out)
 
 
-def multiline_records(lines: DataFrame, piece_lines: int = PIECE_LINES) -> DataFrame:
-    """Join continuation lines to the record they follow: ``file, line_no, value, piece``.
+def _join_lines(lines: DataFrame, by: list[str]) -> DataFrame:
+    """Texts joined in line order by group, null if all are, with the first line number."""
+    texts = F.sort_array(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("line_no", "value"))))
+    return lines.groupBy(*by).agg(F.min("line_no").alias("line_no"),
+                                  F.when(F.count("value") > 0, F.array_join(texts["value"], "\n")).alias("value"))
+
+
+def multiline_records(lines: DataFrame, piece_lines: int | None = None) -> DataFrame:
+    """Join continuation lines to the record they follow: ``file, line_no, value``, one row for each record.
 
     A line belongs to the nearest start at or before it: the last one inside its block of lines, or else the
     last of the file's earlier blocks, so a long file needs no single sorted task. Lines
-    before the first start form one record of their own. A record is cut after every ``piece_lines`` lines, counted from
-    its first: ``piece`` numbers its rows from 0 and ``line_no`` is the first line of each. So a file without any
-    start becomes many rows, and no task holds more than one piece. A null line starts no record and adds nothing.
+    before the first start form one record of their own. Lines between the first and the last start of a block make
+    records that end there. The others are joined by block first, and then one text for each block
+    by record, so a record of many blocks is never held as single lines. A null line starts no record and adds nothing.
+    One row for each block of a file is broadcast.
+
+    A record is one value, 2 GB at most; a longer one fails the job. With ``piece_lines`` a record comes in rows
+    of that many lines instead, counted from its first: ``piece`` numbers them from 0, ``line_no`` is the first line of each.
     """
     rows = lines.select(
         "file", "line_no", "value", F.floor(F.col("line_no") / LINE_BLOCK).alias("_block"),
         F.when(F.col("value").rlike(P.RECORD_START), F.col("line_no")).alias("_start"))
-    blocks = rows.groupBy("file", "_block").agg(F.max("_start").alias("_last"), F.min("line_no").alias("_first"))
+    blocks = rows.groupBy("file", "_block").agg(
+        F.min("_start").alias("_next"), F.max("_start").alias("_last"), F.min("line_no").alias("_first"))
     earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     first = F.min("_first").over(Window.partitionBy("file"))
-    carried = blocks.select("file", "_block", F.coalesce(F.max("_last").over(earlier), first).alias("_carried"))
+    bounds = blocks.select("file", "_block", "_next", "_last", F.coalesce(F.max("_last").over(earlier), first).alias("_carried"))
     upto = (Window.partitionBy("file", "_block").orderBy("line_no")
             .rowsBetween(Window.unboundedPreceding, 0))
-    placed = (rows.withColumn("_in", F.max("_start").over(upto)).join(carried, ["file", "_block"])
-              .withColumn("_record", F.coalesce("_in", "_carried"))
-              .withColumn("piece", F.floor((F.col("line_no") - F.col("_record")) / piece_lines)))
-    parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))
-    return (placed.groupBy("file", "_record", "piece").agg(parts.alias("_parts"))
-            .select("file", F.col("_parts")[0]["line_no"].alias("line_no"),
-                    F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"), "piece"))
+    known = rows.join(F.broadcast(bounds), ["file", "_block"])
+    inside = F.coalesce((F.col("line_no") >= F.col("_next")) & (F.col("line_no") < F.col("_last")), F.lit(False))
+    closed = known.where(inside).withColumn("_record", F.max("_start").over(upto))
+    crossing = known.where(~inside).withColumn(
+        "_record", F.when(F.col("line_no") >= F.col("_last"), F.col("_last")).otherwise(F.col("_carried")))
+    row = ["file", "_record"]
+    if piece_lines is not None:
+        row.append("piece")
+        piece = F.floor((F.col("line_no") - F.col("_record")) / piece_lines)
+        closed, crossing = closed.withColumn("piece", piece), crossing.withColumn("piece", piece)
+    found = [_join_lines(closed, [*row, "_block"]), _join_lines(_join_lines(crossing, [*row, "_block"]), row)]
+    closed, crossing = [part.select("file", "line_no", "value", *row[2:]) for part in found]
+    return closed.unionByName(crossing)
