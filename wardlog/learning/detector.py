@@ -47,7 +47,7 @@ class Detector:
     codes: dict[str, DataFrame] = field(default_factory=dict)
     scaler: dict[str, tuple[float, float]] = field(default_factory=dict)
     threshold: float | None = None
-    model: PipelineModel | IsolationForestModel | OneClassModel | None = None
+    model: forest.ForestModel | PipelineModel | IsolationForestModel | OneClassModel | None = None
     unseen: str = "next"
 
     def __post_init__(self) -> None:
@@ -184,7 +184,10 @@ class Detector:
         """Write the bundle: model, encodings and a JSON state document."""
         state = {"model_type": self.model_type, "features": self.features, "scaler": self.scaler,
                  "threshold": self.threshold, "codes": sorted(self.codes), "unseen": self.unseen}
-        if isinstance(self.model, PipelineModel):
+        if isinstance(self.model, forest.ForestModel):
+            self.model.save(f"{path}/model")
+            state["forest"] = self.model.state()
+        elif isinstance(self.model, PipelineModel):
             self.model.write().overwrite().save(f"{path}/model")
         elif isinstance(self.model, IsolationForestModel):
             self.model.save(spark, f"{path}/model")
@@ -201,7 +204,9 @@ class Detector:
         detector = cls(state["model_type"], state["features"], threshold=state["threshold"], unseen=state.get("unseen", "next"),
                        scaler={c: tuple(v) for c, v in state["scaler"].items()})
         detector.codes = {c: spark.read.parquet(f"{path}/codes/{c}") for c in state["codes"]}
-        if detector.model_type == "random_forest":
+        if "forest" in state:
+            detector.model = forest.ForestModel.load(spark, f"{path}/model", state["forest"])
+        elif detector.model_type == "random_forest":
             detector.model = PipelineModel.load(f"{path}/model")
         elif detector.model_type == "isolation_forest":
             detector.model = IsolationForestModel.load(spark, f"{path}/model", detector._z(), state["sample"])
