@@ -90,3 +90,17 @@ def test_cross_validation_trains_each_fold_on_the_others(spark, noisy):
         by_hand.append(2 * hit / (flagged + hostile))
     assert got.mean_f1 == pytest.approx(np.mean(by_hand)) and got.two_std == pytest.approx(2 * np.std(by_hand))
     assert n < 3 * 45
+
+
+
+@pytest.mark.parametrize("cells,dealt", [(2_000_000, 200_000_000), (60, 200_000_000), (8, 1)])
+def test_one_tree_of_two_features_equals_spark_ml(noisy, monkeypatch, cells, dealt):
+    """Without bagging, and with both of two features at every node, nothing is drawn. Also with levels split by all tasks."""
+    monkeypatch.setattr(forest, "SUBTREE_CELLS", cells)
+    monkeypatch.setattr(forest, "DEALT_CELLS", dealt)
+    other = forest.pipeline(["hour", "user"], forest.classifier(1).setBootstrap(False)).fit(forest.with_label(noisy, "y").coalesce(1))
+    model = forest.train_forest(noisy, ["hour", "user"], "y", trees=1, bootstrap=False)
+    assert (len(model.tops[0]["feature"]) > 3) == (cells < 100)
+    assert np.allclose(scores(forest.predict_forest(model, noisy)), scores(forest.predict_forest(other, noisy)), atol=1e-12)
+    told = [{r.feature: r.importance for r in forest.feature_importance(m, noisy).collect()} for m in (model, other)]
+    assert told[0] == pytest.approx(told[1])
