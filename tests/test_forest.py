@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardlog.learning import forest
 from wardlog.learning import trees as tr
+from wardlog.learning.detector import Detector
 from wardlog.operators.balance import stratified_folds
 
 
@@ -104,3 +105,14 @@ def test_one_tree_of_two_features_equals_spark_ml(noisy, monkeypatch, cells, dea
     assert np.allclose(scores(forest.predict_forest(model, noisy)), scores(forest.predict_forest(other, noisy)), atol=1e-12)
     told = [{r.feature: r.importance for r in forest.feature_importance(m, noisy).collect()} for m in (model, other)]
     assert told[0] == pytest.approx(told[1])
+
+
+
+def test_saved_forest_keeps_split_levels(spark, noisy, tmp_path, monkeypatch):
+    monkeypatch.setattr(forest, "SUBTREE_CELLS", 8)
+    detector = Detector("random_forest", ["hour", "user"])
+    detector.model = forest.train_forest(noisy, detector.features, "y", trees=2)
+    detector.save(spark, str(tmp_path / "m"))
+    back = Detector.load(spark, str(tmp_path / "m")).model
+    assert back.merged and back.state() == detector.model.state()
+    assert (scores(forest.predict_forest(back, noisy)) == scores(forest.predict_forest(detector.model, noisy))).all()
