@@ -116,3 +116,32 @@ def test_saved_forest_keeps_split_levels(spark, noisy, tmp_path, monkeypatch):
     back = Detector.load(spark, str(tmp_path / "m")).model
     assert back.merged and back.state() == detector.model.state()
     assert (scores(forest.predict_forest(back, noisy)) == scores(forest.predict_forest(detector.model, noisy))).all()
+
+
+
+def test_forest_does_not_depend_on_the_layout(noisy):
+    """Draws belong to cells, not to partitions."""
+    some = [forest.train_forest(rows, ["hour", "user"], "y", trees=5) for rows in (noisy, noisy.orderBy("user").repartition(5))]
+    assert some[0].importances == some[1].importances
+    assert (scores(forest.predict_forest(some[0], noisy)) == scores(forest.predict_forest(some[1], noisy.repartition(3)))).all()
+
+
+def test_rows_without_a_drawn_tree(spark):
+    """With two rows some trees draw none; they take no part in the mean."""
+    rows = spark.createDataFrame([(1, 0.0, False), (2, 5.0, True)], "id long, a double, y boolean")
+    model = forest.train_forest(rows, ["a"], "y", trees=30)
+    assert model.subtrees.count() < 30
+    low, high = scores(forest.predict_forest(model, rows))
+    assert 0 <= low < 0.5 < high <= 1
+
+
+def test_missing_values_and_wrong_labels(spark, noisy):
+    rows = noisy.withColumn("user", F.when(F.col("id") % 4 > 0, F.col("user")))
+    model = forest.train_forest(rows, ["hour", "user"], "y", trees=3)
+    assert len(scores(forest.predict_forest(model, rows))) == 3000
+    with pytest.raises(Exception, match="y must be 0 or 1"):
+        forest.train_forest(noisy.withColumn("y", F.lit(2)), ["hour"], "y", trees=2)
+    with pytest.raises(ValueError, match="no rows"):
+        forest.train_forest(noisy.limit(0), ["hour"], "y", trees=2)
+    one = forest.train_forest(noisy.withColumn("y", F.lit(False)), ["hour"], "y", trees=2)
+    assert not scores(forest.predict_forest(one, noisy)).any()
