@@ -145,3 +145,25 @@ def test_missing_values_and_wrong_labels(spark, noisy):
         forest.train_forest(noisy.limit(0), ["hour"], "y", trees=2)
     one = forest.train_forest(noisy.withColumn("y", F.lit(False)), ["hour"], "y", trees=2)
     assert not scores(forest.predict_forest(one, noisy)).any()
+
+
+
+def test_borders_of_many_values(noisy, monkeypatch):
+    """Beyond ``VALUES`` distinct values borders come from ranges of about equal numbers of rows."""
+    rows = noisy.withColumn("user", F.col("user") + F.col("id") / 10_000)
+    exact, counts = forest.feature_borders(rows, ["user", "hour"], "y")
+    monkeypatch.setattr(forest, "VALUES", 500)
+    near, again = forest.feature_borders(rows.repartition(7), ["user", "hour"], "y")
+    assert near[1] == exact[1] and len(near[1]) == 23 and (counts == again).all() and counts.sum() == 3000
+    assert len(near[0]) == len(exact[0]) == 31 and np.allclose(near[0], exact[0], atol=3)
+
+
+def test_split_levels_and_whole_trees_agree(noisy, monkeypatch):
+    """Forests differ in what they draw, not in what they tell."""
+    train = lambda: forest.train_forest(noisy, ["hour", "user"], "y", trees=40)
+    whole = train()
+    monkeypatch.setattr(forest, "SUBTREE_CELLS", 100)
+    split = train()
+    assert split.subtrees.count() > 100 and split.importances == pytest.approx(whole.importances, abs=0.05)
+    a, b = (scores(forest.predict_forest(m, noisy)) for m in (whole, split))
+    assert np.corrcoef(a, b)[0, 1] > 0.97 and abs(a - b).mean() < 0.05
